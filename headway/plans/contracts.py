@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.operators.quality import not_null_report, unique_report
-from headway.schemas import feed_schema, staged_schema
+from headway.schemas import columns
 
 # Models whose schema is promised. Clock times are seconds of day.
 CONTRACTS = {
@@ -69,7 +69,7 @@ UNIQUE = {
 
 
 def contract(model: str) -> StructType:
-    return StructType.fromDDL(CONTRACTS[model])
+    return columns(CONTRACTS[model])
 
 
 def not_null_columns(model: str, df: DataFrame) -> list[str]:

@@ -58,7 +58,7 @@ def run(
     it from all raw days. `payload_shapes` names the JSON shape of an endpoint where
     it is not a plain list of rows.
     """
-    run_at = run_at or dt.datetime.now()
+    run_at = run_at or dt.datetime.now(dt.timezone.utc)
     stamp = F.lit(run_at).cast("timestamp")
     day = run_date.strftime("%Y%m%d")
     raw, staging = f"{warehouse}/raw", f"{warehouse}/staging"

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 # The column layout of the feed, one table per name. Endpoint
 # tables come from the JSON API, the others from the GTFS text files. The
@@ -78,25 +86,44 @@ PARTITION_COLUMN = "partition_date"
 INGESTED_AT = "ingested_at"
 
 
+TYPES = {
+    "string": StringType(),
+    "bigint": LongType(),
+    "double": DoubleType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """`name type, name type, ...` as a schema; unlike a DDL parse it needs no session."""
+    schema = StructType()
+    for column in text.split(","):
+        name, kind = column.split()
+        schema.add(name, TYPES[kind])
+    return schema
+
+
 def lineage_column(table: str) -> str:
     return ENDPOINT_LINEAGE if table in ENDPOINT_TABLES else FILE_LINEAGE
 
 
 def feed_schema(table: str) -> StructType:
     """The columns the feed itself delivers for `table`."""
-    return StructType.fromDDL(FEED_COLUMNS[table])
+    return columns(FEED_COLUMNS[table])
 
 
 def raw_schema(table: str) -> StructType:
     """Schema of the raw layer: the feed's columns, lineage, and the extraction day as text."""
-    return feed_schema(table).add(lineage_column(table), "string").add(PARTITION_COLUMN, "string")
+    return feed_schema(table).add(lineage_column(table), StringType()).add(PARTITION_COLUMN, StringType())
 
 
 def staged_schema(table: str) -> StructType:
     """Schema after staging: the extraction day is a date and the load time is stamped."""
     return (
         feed_schema(table)
-        .add(lineage_column(table), "string")
-        .add(INGESTED_AT, "timestamp")
-        .add(PARTITION_COLUMN, "date")
+        .add(lineage_column(table), StringType())
+        .add(INGESTED_AT, TimestampType())
+        .add(PARTITION_COLUMN, DateType())
     )
