@@ -37,7 +37,11 @@ MERGES = {
 
 
 def merge_sources(
-    endpoint: DataFrame, feed: DataFrame, spec: MergeSpec, match_partition: bool = True
+    endpoint: DataFrame,
+    feed: DataFrame,
+    spec: MergeSpec,
+    match_partition: bool = True,
+    endpoint_has_copies: bool = True,
 ) -> DataFrame:
     """Inner join of API and feed rows on the entity id; the API's column wins a name clash.
 
@@ -46,14 +50,16 @@ def merge_sources(
 
     Copies go before the join: two sets without copies join to a set without
     copies, so this equals removing them afterwards, while a row held k times on
-    one side and m times on the other never becomes k * m rows.
+    one side and m times on the other never becomes k * m rows. A caller whose API
+    rows are known to be free of copies, as staged rows are, saves their shuffle; the
+    feed's rows can become copies here, when their clashing columns are left out.
     """
     match_day = match_partition and PARTITION_COLUMN in feed.columns
     feed_day = f"_feed_{PARTITION_COLUMN}"
     added = [F.col(c) for c in feed.columns if c not in endpoint.columns]
     if match_day:
         added.append(F.col(PARTITION_COLUMN).alias(feed_day))
-    left = endpoint.dropDuplicates()
+    left = endpoint.dropDuplicates() if endpoint_has_copies else endpoint
     right = feed.select(added).dropDuplicates()
 
     same_id = _as_key(left, "id", right, spec.feed_key) == right[spec.feed_key]

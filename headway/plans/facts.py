@@ -41,15 +41,21 @@ def trip_summary(stop_times: DataFrame, clock: str = "wrapped") -> DataFrame:
     clock, so a trip past midnight begins at its first departure after midnight;
     `sequence` takes the first and last in running order.
     """
-    departure = gtfs_seconds(F.col("departure_time"))
-    arrival = gtfs_seconds(F.col("arrival_time"))
+    # Parsed in a projection of its own: each text once, however many aggregates read it.
+    timed = stop_times.select(
+        "trip_id",
+        "shape_dist_traveled",
+        gtfs_seconds(F.col("departure_time")).alias("departure"),
+        gtfs_seconds(F.col("arrival_time")).alias("arrival"),
+    )
+    departure, arrival = F.col("departure"), F.col("arrival")
     if clock == "wrapped":
         begin, end = F.min(clock_of(departure)), F.max(clock_of(arrival))
     elif clock == "sequence":
         begin, end = clock_of(F.min(departure)), clock_of(F.max(arrival))
     else:
         raise ValueError(f"unknown clock: {clock}")
-    return stop_times.groupBy("trip_id").agg(
+    return timed.groupBy("trip_id").agg(
         begin.alias("departure_time_begin"),
         end.alias("arrival_time_end"),
         trip_duration_minutes(F.min(departure), F.max(arrival)).alias("duration_minutes"),

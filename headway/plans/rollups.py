@@ -139,16 +139,21 @@ def line_frequency_at_stops(
     """The analysis `line_frequency`, without making the events.
 
     Distinct trips are counted before the calendar and days after it, so neither
-    count sees (trips x days) rows. Both start from one aggregate, shuffled once.
+    count sees (trips x days) rows. The line and the services that run at all are
+    picked among the trips, before these meet the stop times.
     """
-    of_line = trips_with_routes(trips, routes.where(F.col("line_id") == line_id))
+    days = calendar.select("service_id", "service_date")
+    of_line = (
+        trips_with_routes(trips, routes.where(F.col("line_id") == line_id))
+        .select("trip_id", "service_id")
+        .join(days.select("service_id").distinct(), "service_id", "left_semi")
+    )
     per_trip = (
         stop_times.select("trip_id", "stop_id")
-        .join(of_line.select("trip_id", "service_id"), "trip_id")
+        .join(of_line, "trip_id")
         .groupBy("stop_id", "trip_id", "service_id")
         .agg(F.count(F.lit(1)).alias("_calls"))
     )
-    days = calendar.select("service_id", "service_date")
     by_day = (
         per_trip.groupBy("stop_id", "service_id")
         .agg(F.sum("_calls").alias("_calls"))
@@ -161,11 +166,10 @@ def line_frequency_at_stops(
             F.max("service_date").alias("last_service_date"),
         )
     )
-    by_trip = (
-        per_trip.join(days.select("service_id").distinct(), "service_id", "left_semi")
-        .groupBy("stop_id")
-        .agg(F.count_distinct("trip_id").alias("unique_trips"))
-    )
+    # Reading the call count keeps this branch's aggregate equal to the other's, so
+    # that Spark runs and shuffles it once for both.
+    called = F.when(F.col("_calls") > 0, F.col("trip_id"))
+    by_trip = per_trip.groupBy("stop_id").agg(F.count_distinct(called).alias("unique_trips"))
     named = stops_enriched(stops, municipalities).select(
         "stop_id", "stop_name", "municipality_name"
     )

@@ -10,9 +10,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def build_session(app_name: str = "headway", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "headway",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """Session with the settings the plans rely on.
 
+    shuffle_bytes: size of the largest shuffle to expect, such as the stop times of
+    one day. It sets how many partitions a shuffle starts with, so that one fits in
+    memory; adaptive execution joins those that turn out small.
+
     Adaptive execution does three jobs here: it turns a join into a broadcast
     join only once the measured size of a side allows it, it splits skewed join
     partitions, and it sizes the partitions of REBALANCE writes. All three are
@@ -26,6 +38,11 @@ def build_session(app_name: str = "headway", master: str | None = None, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
     )
+    if shuffle_bytes:
+        partitions = max(200, shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

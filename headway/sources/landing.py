@@ -15,7 +15,7 @@ from headway.schemas import (
     PARTITION_COLUMN,
     feed_schema,
 )
-from headway.sources.tables import entity_name, raw_path, replace_partitions
+from headway.sources.tables import entity_name, raw_path, replace_one_partition
 
 
 def read_json_payload(
@@ -69,7 +69,7 @@ def read_gtfs_text(
 def land(df: DataFrame, root: str, source: str, entity: str, day: str) -> str:
     """Write one extraction day (`yyyyMMdd`) of an entity to the raw layer; a re-run replaces it."""
     path = raw_path(root, source, entity)
-    replace_partitions(df.withColumn(PARTITION_COLUMN, F.lit(day)), path)
+    replace_one_partition(df.withColumn(PARTITION_COLUMN, F.lit(day)), path)
     return path
 
 

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from headway.operators.cleaning import fill_missing, json_to_array
 from headway.operators.merge import MERGES, merge_sources
 from headway.schemas import INGESTED_AT, PARTITION_COLUMN, raw_schema
-from headway.sources.tables import raw_path, read_with_schema, replace_partitions, replace_table
+from headway.sources.tables import (
+    raw_path,
+    read_with_schema,
+    replace_one_partition,
+    replace_table,
+)
 
 
 @dataclass(frozen=True)
@@ -100,7 +105,7 @@ def stage_table(
     if day is None:
         replace_table(stage(raw, run_at), path, PARTITION_COLUMN)
     else:
-        replace_partitions(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path)
+        replace_one_partition(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path)
     return path
 
 
@@ -138,9 +143,9 @@ def merge_staged(
     if day is not None:
         endpoint = endpoint.where(F.col(PARTITION_COLUMN) == F.lit(day))
         feed = feed.where(F.col(PARTITION_COLUMN) == F.lit(day))
-    merged = merge_sources(endpoint, feed, MERGES[entity], match_partition).withColumn(
-        INGESTED_AT, F.current_timestamp() if run_at is None else run_at
-    )
+    merged = merge_sources(
+        endpoint, feed, MERGES[entity], match_partition, endpoint_has_copies=False
+    ).withColumn(INGESTED_AT, F.current_timestamp() if run_at is None else run_at)
     return _write(merged, staging_path(staging_root, entity), day)
 
 
@@ -159,5 +164,5 @@ def _write(df: DataFrame, path: str, day: dt.date | None) -> str:
     if day is None:
         replace_table(df, path, PARTITION_COLUMN)
     else:
-        replace_partitions(df, path)
+        replace_one_partition(df, path)
     return path

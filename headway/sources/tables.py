@@ -31,9 +31,13 @@ def read_with_schema(spark: SparkSession, path: str, schema: StructType) -> Data
 
 def replace_partitions(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
     """Overwrite only the partitions that `df` holds; the other days of the table stay."""
+    replace_one_partition(_by_partition(df, partition), path, partition)
+
+
+def replace_one_partition(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
+    """The same for rows that all belong to one partition: no shuffle is needed to gather them."""
     (
-        _by_partition(df, partition)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
