@@ -15,10 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.schemas import feed_schema
 
-BASE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+# The layout of the base tables read here. Declared, so that opening a
+# table starts no job to infer it.
+BASE_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """
+        c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": """
+        o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """
+        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """
+        event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
+        props string""",
+}
 
 # Unnesting is the one construct the two dialects spell differently.
 UNNEST = {"spark": "explode(array({}))", "duckdb": "unnest([{}])"}
@@ -30,10 +46,8 @@ DAY = (
 )
 
 
-def _clock(seconds: str, tail: str) -> str:
-    hours = f"lpad(cast(cast(floor({seconds} / 3600) as bigint) as string), 2, '0')"
-    minutes = f"lpad(cast(cast(floor(({seconds} % 3600) / 60) as bigint) as string), 2, '0')"
-    return f"concat({hours}, ':', {minutes}, '{tail}')"
+def _two_digits(number: str) -> str:
+    return f"lpad(cast({number} as string), 2, '0')"
 
 
 def _filler(table: str, key: str, given: dict[str, str]) -> str:
@@ -70,16 +84,18 @@ INPUTS = {
                case when o_orderkey % 3 = 0 then 'NaN' when o_orderkey % 3 = 1 then 'UNKNOWN'
                     else o_orderstatus end calendar_desc
         from $orders""",
+    # Hours run to 25 and minutes to 55, so some trips begin or end past midnight.
     "stop_times": f"""
         select trip_id, stop_id, stop_sequence, pickup_type, drop_off_type, timepoint,
-               shape_dist_traveled,
-               {_clock("t", ":00")} arrival_time, {_clock("t", ":30")} departure_time
+               shape_dist_traveled, concat(hour_minute, ':00') arrival_time,
+               concat(hour_minute, ':30') departure_time
         from (select cast(l_orderkey as string) trip_id, l_suppkey stop_id,
                      l_linenumber * 1000000000000 + l_partkey stop_sequence,
                      cast(l_linenumber % 2 as bigint) pickup_type,
                      cast(l_partkey % 2 as bigint) drop_off_type, cast(1 as bigint) timepoint,
                      (l_linenumber + l_partkey % 4) * 0.25E0 shape_dist_traveled,
-                     (l_orderkey % 26) * 3600 + l_linenumber * 420 + (l_partkey % 7) * 60 t
+                     concat({_two_digits("(l_orderkey + l_linenumber) % 26")}, ':',
+                            {_two_digits("l_linenumber * 7 + l_partkey % 7")}) hour_minute
               from $lineitem) calls""",
     "routes": """
         select cast(c_custkey as string) route_id, c_name route_long_name,
@@ -379,13 +395,18 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
-        self.tables = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}
+        self.tables = {
+            name: spark.read.schema(layout).parquet(f"{sf_dir}/{name}.parquet")
+            for name, layout in BASE_TABLES.items()
+        }
 
     def __call__(self, name: str) -> DataFrame:
         return self.query(f"select * from {name}")
 
     def query(self, sql: str) -> DataFrame:
-        return self.spark.sql(input_ctes(sql, "spark", self.tables))
+        text = input_ctes(sql, "spark", {t: f"{{{t}}}" for t in self.tables})
+        used = {t: df for t, df in self.tables.items() if f"{{{t}}}" in text}
+        return self.spark.sql(text, **used)
 
 
 def duckdb_sql(query: str) -> str:

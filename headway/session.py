@@ -37,6 +37,9 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        # Sizes of parquet scans are those of compressed files; judge broadcasts by what
+        # the rows take up in memory.
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
     )
     if shuffle_bytes:
         partitions = max(200, shuffle_bytes // SHUFFLE_PARTITION_BYTES)
