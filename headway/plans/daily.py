@@ -92,14 +92,10 @@ def staging_views(
 ) -> dict[str, DataFrame]:
     """The stg_* views over the staged tables. `anchors` maps a view to another table to anchor on."""
     anchors = anchors or {}
-
-    def staged(table: str) -> DataFrame:
-        return spark.read.parquet(staging_path(f"{warehouse}/staging", table))
-
     views = {}
     for name, (table, view) in VIEWS.items():
-        anchor = staged(anchors[name]) if name in anchors else None
-        views[name] = view(staged(table), anchor)
+        anchor = _staged(spark, warehouse, anchors[name]) if name in anchors else None
+        views[name] = view(_staged(spark, warehouse, table), anchor)
         if name in CONTRACTS:
             views[name] = enforce_contract(views[name], contract(name), name)
     return views
@@ -151,8 +147,10 @@ def read_snapshots(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 
 def open_catalog(spark: SparkSession, warehouse: str) -> list[str]:
-    """Register staging views, marts and snapshots for SQL under their names."""
+    """Register staged tables, staging views, marts and snapshots for SQL under their names."""
+    sources = sorted({table for table, _ in VIEWS.values()})
     tables = {
+        **{f"staging_{t}": _staged(spark, warehouse, t) for t in sources},
         **staging_views(spark, warehouse),
         **read_marts(spark, warehouse),
         **read_snapshots(spark, warehouse),
@@ -171,6 +169,10 @@ def check_all(spark: SparkSession, warehouse: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (check_model(m, df) for m, df in models.items()))
 
 
+def _staged(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    return spark.read.parquet(staging_path(f"{warehouse}/staging", table))
+
+
 def failed(report: DataFrame) -> DataFrame:
     """The checks that found something."""
     return report.where(F.col("failures") > 0)
