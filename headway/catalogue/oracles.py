@@ -119,7 +119,7 @@ TRIP_PEAK = f"""
            coalesce({PEAK.format("min(clock)")}, false) is_peak
     from (select trip_id, {_seconds("departure_time")} % 86400 clock from stop_times) departures
     join trips using (trip_id) join calendar using (service_id)
-    group by all"""
+    group by trip_id, service_date, day_type, exception_type, holiday"""
 
 
 def _schedule(calendar: str = "calendar") -> str:
