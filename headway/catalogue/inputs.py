@@ -12,29 +12,11 @@ import re
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from headway.schemas import feed_schema
 
-# The layout of the base tables read here. Declared, so that opening a
-# table starts no job to infer it.
-BASE_TABLES = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": """
-        c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
-        c_mktsegment string""",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "orders": """
-        o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
-        o_orderdate timestamp_ntz, o_orderpriority string""",
-    "lineitem": """
-        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
-        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
-        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
-    "events": """
-        event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,
-        props string""",
-}
+BASE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 
 # Unnesting is the one construct the two dialects spell differently.
 UNNEST = {"spark": "explode(array({}))", "duckdb": "unnest([{}])"}
@@ -390,22 +372,29 @@ def input_ctes(query: str, dialect: str, tables: dict[str, str]) -> str:
     return Template(query).substitute(words)
 
 
+# Layouts of tables already opened: each is read from its files once per process.
+_LAYOUTS: dict[str, StructType] = {}
+
+
 class Inputs:
     """The derived inputs over the parquet files of one folder, as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
-        self.tables = {
-            name: spark.read.schema(layout).parquet(f"{sf_dir}/{name}.parquet")
-            for name, layout in BASE_TABLES.items()
-        }
+        self.sf_dir = sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _LAYOUTS:
+            _LAYOUTS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_LAYOUTS[path]).parquet(path)
 
     def __call__(self, name: str) -> DataFrame:
         return self.query(f"select * from {name}")
 
     def query(self, sql: str) -> DataFrame:
-        text = input_ctes(sql, "spark", {t: f"{{{t}}}" for t in self.tables})
-        used = {t: df for t, df in self.tables.items() if f"{{{t}}}" in text}
+        text = input_ctes(sql, "spark", {t: f"{{{t}}}" for t in BASE_TABLES})
+        used = {t: self.table(t) for t in BASE_TABLES if f"{{{t}}}" in text}
         return self.spark.sql(text, **used)
 
 

@@ -203,7 +203,7 @@ def stage_all_tables(src: Inputs) -> DataFrame:
 def fact_partitioned_sink(src: Inputs) -> DataFrame:
     """The trip-schedule fact written by date and read back; totals per date."""
     path = f"{scratch_dir(src.spark, 'marts')}/fact_trip_schedule"
-    replace_table(_schedule(src), path, "trip_date")
+    replace_table(_schedule(src), path, "trip_date", gather=False)
     return (
         src.spark.read.parquet(path)
         .groupBy("trip_date")

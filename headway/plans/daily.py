@@ -7,7 +7,7 @@ again on its own, plans stay short, and every scan knows its size on disk.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from headway.plans.dimensions import dim_calendar_service, dim_line, dim_stop, d
 from headway.plans.facts import fact_stop_event, fact_trip_schedule
 from headway.plans.snapshots import read_snapshot, snapshot_dimensions
 from headway.plans.staging_views import VIEWS
-from headway.sources.landing import land_endpoint, land_gtfs
+from headway.sources.landing import gtfs_members, land_endpoint, land_gtfs
 from headway.sources.staging import (
     ARRAY_COLUMNS,
     ENTITIES,
@@ -30,7 +30,7 @@ from headway.sources.staging import (
     stage_all,
     staging_path,
 )
-from headway.sources.tables import register_views, replace_table
+from headway.sources.tables import entity_name, register_views, replace_table
 
 FACT_PARTITIONS = {"fact_trip_schedule": "trip_date", "fact_stop_event": "stop_event_date"}
 MART_TABLES = (
@@ -51,19 +51,20 @@ def run(
     run_at: dt.datetime | None = None,
     full_refresh: bool = False,
     payload_shapes: Mapping[str, str] | None = None,
+    extra_endpoints: Sequence[str] = (),
 ) -> DataFrame:
     """Process the files landed on `run_date` and return the report of the declared checks.
 
     By default staging touches only the new extraction day; `full_refresh` rebuilds
-    it from all raw days. `payload_shapes` names the JSON shape of an endpoint where
-    it is not a plain list of rows.
+    it from all raw days. `payload_shapes` names the JSON shape of an entity where it
+    is not a plain list of rows. `extra_endpoints` are landed in the raw layer only.
     """
     run_at = run_at or dt.datetime.now(dt.timezone.utc)
     stamp = F.lit(run_at).cast("timestamp")
     day = run_date.strftime("%Y%m%d")
     raw, staging = f"{warehouse}/raw", f"{warehouse}/staging"
 
-    land_all(spark, landing, raw, day, payload_shapes or {})
+    land_all(spark, landing, raw, day, payload_shapes or {}, extra_endpoints)
     stage_all(spark, raw, staging, stamp, None if full_refresh else day)
     one_day = None if full_refresh else run_date
     for entity in MERGES:
@@ -77,14 +78,20 @@ def run(
 
 
 def land_all(
-    spark: SparkSession, landing: str, raw: str, day: str, shapes: Mapping[str, str]
+    spark: SparkSession,
+    landing: str,
+    raw: str,
+    day: str,
+    shapes: Mapping[str, str],
+    extra_endpoints: Sequence[str] = (),
 ) -> None:
-    """Land every entity that staging reads."""
-    for entity, sources in ENTITIES.items():
-        if "endpoint" in sources:
-            land_endpoint(spark, landing, raw, f"/{entity}", day, shapes.get(entity, "records"))
-        if "gtfs" in sources:
-            land_gtfs(spark, landing, raw, entity, day)
+    """Land the API entities that staging reads, the extra ones, and every member of the feed."""
+    endpoints = [f"/{entity}" for entity, sources in ENTITIES.items() if "endpoint" in sources]
+    for endpoint in (*endpoints, *extra_endpoints):
+        shape = shapes.get(entity_name(endpoint), "records")
+        land_endpoint(spark, landing, raw, endpoint, day, shape)
+    for member in gtfs_members(spark, landing):
+        land_gtfs(spark, landing, raw, member, day)
 
 
 def staging_views(
@@ -105,7 +112,7 @@ def build_marts(spark: SparkSession, warehouse: str, run_at: Column) -> None:
     """Write the dimensions, then the facts; the stop-event fact reads the stop dimension back."""
     v = staging_views(spark, warehouse)
     write = lambda name, df: replace_table(
-        df, f"{warehouse}/marts/{name}", FACT_PARTITIONS.get(name)
+        df, f"{warehouse}/marts/{name}", FACT_PARTITIONS.get(name), gather=False
     )
     calendar = v["stg_calendar_service"]
     write(

@@ -23,7 +23,8 @@ def build_session(
 
     shuffle_bytes: size of the largest shuffle to expect, such as the stop times of
     one day. It sets how many partitions a shuffle starts with, so that one fits in
-    memory; adaptive execution joins those that turn out small.
+    memory; adaptive execution joins those that turn out small, and aims at their
+    advisory size rather than at one for every core, so that files come out whole.
 
     Adaptive execution does three jobs here: it turns a join into a broadcast
     join only once the measured size of a side allows it, it splits skewed join
@@ -45,7 +46,7 @@ def build_session(
         partitions = max(200, shuffle_bytes // SHUFFLE_PARTITION_BYTES)
         builder = builder.config(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
-        )
+        ).config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -89,6 +89,20 @@ def land_endpoint(
     return land(rows, root, "endpoint", entity, day)
 
 
+def gtfs_members(spark: SparkSession, landing: str) -> list[str]:
+    """Names of the landed feed members, each `<name>.txt`, a file or a folder of files.
+
+    Only paths are listed; the files are not opened.
+    """
+    paths = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{landing}/gtfs")
+        .select(F.regexp_extract("path", r"/gtfs/([^/]+)\.txt(/|$)", 1).alias("member"))
+    )
+    return sorted(r.member for r in paths.distinct().collect() if r.member)
+
+
 def land_gtfs(spark: SparkSession, landing: str, root: str, member: str, day: str) -> str:
     """Landed text of one GTFS member to its raw table."""
     rows = read_gtfs_text(spark, f"{landing}/gtfs/{member}.txt", _declared(member, "gtfs"))

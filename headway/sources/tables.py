@@ -44,14 +44,22 @@ def replace_one_partition(df: DataFrame, path: str, partition: str = PARTITION_C
     )
 
 
-def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Overwrite the whole table. `path` must not be one that `df` reads."""
+def replace_table(
+    df: DataFrame, path: str, partition: str | None = None, gather: bool = True
+) -> None:
+    """Overwrite the whole table. `path` must not be one that `df` reads.
+
+    gather: shuffle the rows of a partition together first. Without it each task adds
+    a file to every partition it has rows of, which suits rows that a last join with
+    the days has just multiplied: a task of 64 MB before that join writes a file of
+    about that size per day, and the multiplied rows are never shuffled.
+    """
     if partition is None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         return
+    rows = _by_partition(df, partition) if gather else df
     (
-        _by_partition(df, partition)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(partition)
         .parquet(path)

@@ -66,6 +66,8 @@ def land_day(folder, renamed):
           "departure_time": f"{7 + 9 * i:02}:{s}0:30", "pickup_type": 0, "drop_off_type": 0, "timepoint": 1,
           "shape_dist_traveled": s * 1.5} for i in range(3) for s in (1, 2)],
     )
+    (folder / "facilities_schools").write_text(json.dumps({"data": [{"id": "s1", "place": {"x": 1}}]}))
+    land_text(folder, "agency", [{"agency_id": "A1", "agency_name": "Agency"}])
     land_text(folder, "periods", [{"period_id": 1, "period_name": "Winter"}])
     days = [{"date": 20240101 + i, "day_type": 1, "holiday": int(i == 0), "period": 1} for i in range(3)]
     land_text(folder, "dates", [d | {"notes": ""} for d in days])
@@ -87,7 +89,8 @@ def warehouse(spark, tmp_path_factory):
         report = daily.run(
             spark, str(root / "landing" / str(date)), str(root / "warehouse"), date,
             run_at=dt.datetime.combine(date, dt.time(4), dt.timezone.utc),
-            payload_shapes={"lines": "data"},
+            payload_shapes={"lines": "data", "facilities_schools": "data"},
+            extra_endpoints=["/facilities/schools"],
         )
         reports.append({(r.model, r.column_name, r.check_name): r.failures for r in report.collect()})
     return str(root / "warehouse"), reports
@@ -115,6 +118,14 @@ def test_staging_keeps_both_days_and_views_the_last(spark, warehouse):
     assert spark.read.parquet(f"{root}/staging/staging_lines_converted").first().municipality_ids == ["a", "b"]
 
 
+def test_raw_layer_has_what_staging_does_not_read(spark, warehouse):
+    agency = spark.read.parquet(f"{warehouse[0]}/raw/gtfs/agency")
+    assert {(r.agency_name, r._source_file) for r in agency.collect()} == {("Agency", "agency.txt")}
+    schools = spark.read.parquet(f"{warehouse[0]}/raw/facilities_schools")
+    assert {(r.id, r.place, r._endpoint) for r in schools.collect()} == {("s1", '{"x":1}', "/facilities/schools")}
+    assert agency.count() == schools.count() == 2
+
+
 def test_marts(spark, warehouse):
     marts = daily.read_marts(spark, warehouse[0])
     assert {n: df.count() for n, df in marts.items()} == {
