@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +45,13 @@ from headway.sources.staging import (
     stage_table,
     staged_tables,
 )
-from headway.sources.tables import raw_path, read_with_schema, replace_partitions, replace_table
+from headway.sources.tables import (
+    in_parallel,
+    raw_path,
+    read_with_schema,
+    replace_partitions,
+    replace_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,9 +192,12 @@ def stage_table_rebuild(src: Inputs) -> DataFrame:
 def stage_all_tables(src: Inputs) -> DataFrame:
     """Every feed table landed and staged; rows per table and day."""
     raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
-    for table in staged_tables():
-        path = raw_path(raw_root, table.source, table.entity)
-        replace_partitions(src(f"raw_{table.schema}"), path)
+    in_parallel(
+        partial(
+            replace_partitions, src(f"raw_{t.schema}"), raw_path(raw_root, t.source, t.entity)
+        )
+        for t in staged_tables()
+    )
     written = stage_all(src.spark, raw_root, root, _run_at())
     counts = [
         src.spark.read.parquet(path)

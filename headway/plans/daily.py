@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from headway.sources.staging import (
     stage_all,
     staging_path,
 )
-from headway.sources.tables import entity_name, register_views, replace_table
+from headway.sources.tables import entity_name, in_parallel, register_views, replace_table
 
 FACT_PARTITIONS = {"fact_trip_schedule": "trip_date", "fact_stop_event": "stop_event_date"}
 MART_TABLES = (
@@ -67,10 +67,12 @@ def run(
     land_all(spark, landing, raw, day, payload_shapes or {}, extra_endpoints)
     stage_all(spark, raw, staging, stamp, None if full_refresh else day)
     one_day = None if full_refresh else run_date
-    for entity in MERGES:
-        merge_staged(spark, staging, entity, stamp, day=one_day)
-    for table in ARRAY_COLUMNS:
-        convert_staged(spark, staging, table, day=one_day)
+    in_parallel(
+        partial(merge_staged, spark, staging, entity, stamp, day=one_day) for entity in MERGES
+    )
+    in_parallel(
+        partial(convert_staged, spark, staging, table, day=one_day) for table in ARRAY_COLUMNS
+    )
     build_marts(spark, warehouse, stamp)
     marts = read_marts(spark, warehouse)
     snapshot_dimensions(spark, f"{warehouse}/snapshots", marts, run_at)
@@ -87,11 +89,17 @@ def land_all(
 ) -> None:
     """Land the API entities that staging reads, the extra ones, and every member of the feed."""
     endpoints = [f"/{entity}" for entity, sources in ENTITIES.items() if "endpoint" in sources]
-    for endpoint in (*endpoints, *extra_endpoints):
-        shape = shapes.get(entity_name(endpoint), "records")
-        land_endpoint(spark, landing, raw, endpoint, day, shape)
-    for member in gtfs_members(spark, landing):
-        land_gtfs(spark, landing, raw, member, day)
+    payloads = [
+        partial(
+            land_endpoint, spark, landing, raw, e, day, shapes.get(entity_name(e), "records")
+        )
+        for e in (*endpoints, *extra_endpoints)
+    ]
+    members = [
+        partial(land_gtfs, spark, landing, raw, member, day)
+        for member in gtfs_members(spark, landing)
+    ]
+    in_parallel([*payloads, *members])
 
 
 def staging_views(
@@ -111,33 +119,35 @@ def staging_views(
 def build_marts(spark: SparkSession, warehouse: str, run_at: Column) -> None:
     """Write the dimensions, then the facts; the stop-event fact reads the stop dimension back."""
     v = staging_views(spark, warehouse)
-    write = lambda name, df: replace_table(
-        df, f"{warehouse}/marts/{name}", FACT_PARTITIONS.get(name), gather=False
+    trips, stop_times, calendar = (
+        v["stg_trips"], v["stg_stop_times"], v["stg_calendar_service"]
     )
-    calendar = v["stg_calendar_service"]
-    write(
+    calendar_service = enforce_contract(
+        dim_calendar_service(v["stg_dates"], calendar, v["stg_periods"], run_at),
+        contract("dim_calendar_service"),
         "dim_calendar_service",
-        enforce_contract(
-            dim_calendar_service(v["stg_dates"], calendar, v["stg_periods"], run_at),
-            contract("dim_calendar_service"),
-            "dim_calendar_service",
-        ),
-    )
-    write("dim_line", dim_line(v["stg_routes"], run_at))
-    write("dim_stop", dim_stop(v["stg_stops"], run_at))
-    write("dim_trip", dim_trip(v["stg_trips"], run_at))
-    write(
-        "fact_trip_schedule",
-        fact_trip_schedule(v["stg_trips"], v["stg_stop_times"], calendar, run_at=run_at),
     )
+
+    def write(name: str, df: DataFrame) -> None:
+        replace_table(df, f"{warehouse}/marts/{name}", FACT_PARTITIONS.get(name), gather=False)
+
+    independent = {
+        "dim_calendar_service": calendar_service,
+        "dim_line": dim_line(v["stg_routes"], run_at),
+        "dim_stop": dim_stop(v["stg_stops"], run_at),
+        "dim_trip": dim_trip(trips, run_at),
+        "fact_trip_schedule": fact_trip_schedule(trips, stop_times, calendar, run_at=run_at),
+    }
+    in_parallel(partial(write, name, df) for name, df in independent.items())
+    stops = spark.read.parquet(f"{warehouse}/marts/dim_stop")
     write(
         "fact_stop_event",
         fact_stop_event(
-            v["stg_stop_times"],
-            v["stg_trips"],
+            stop_times,
+            trips,
             v["stg_routes"],
             calendar,
-            spark.read.parquet(f"{warehouse}/marts/dim_stop"),
+            stops,
             v["stg_municipalities"],
             run_at=run_at,
         ),

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from headway.operators.history import (
     apply_changes,
     first_snapshot,
 )
+from headway.sources.tables import in_parallel
 
 STATE = "state"
 VERSION = "version"
@@ -89,8 +91,10 @@ def snapshot_dimensions(
     spark: SparkSession, root: str, dimensions: dict[str, DataFrame], run_at: dt.datetime
 ) -> None:
     """Snapshot every tracked dimension."""
-    for name, spec in SNAPSHOTS.items():
-        take_snapshot(spark, root, spec, dimensions[name], run_at)
+    in_parallel(
+        partial(take_snapshot, spark, root, spec, dimensions[name], run_at)
+        for name, spec in SNAPSHOTS.items()
+    )
 
 
 def _last_commit(spark: SparkSession, path: str) -> str | None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from headway.operators.cleaning import fill_missing, json_to_array
 from headway.operators.merge import MERGES, merge_sources
 from headway.schemas import INGESTED_AT, PARTITION_COLUMN, raw_schema
 from headway.sources.tables import (
+    in_parallel,
     raw_path,
     read_with_schema,
     replace_one_partition,
@@ -117,10 +119,11 @@ def stage_all(
     day: str | None = None,
 ) -> dict[str, str]:
     """Write every staging table; returns table name to path."""
-    return {
-        t.schema: stage_table(spark, raw_root, staging_root, t, run_at, day)
-        for t in staged_tables()
-    }
+    tables = list(staged_tables())
+    paths = in_parallel(
+        partial(stage_table, spark, raw_root, staging_root, t, run_at, day) for t in tables
+    )
+    return {t.schema: path for t, path in zip(tables, paths)}
 
 
 def merge_staged(

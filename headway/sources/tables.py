@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from headway.schemas import PARTITION_COLUMN
 
+T = TypeVar("T")
+
+# How many tables are built at a time.
+CONCURRENT_TABLES = 4
+
+
+def in_parallel(writes: Iterable[Callable[[], T]]) -> list[T]:
+    """Run independent table writes a few at a time, so that small tables fill the cluster together."""
+    with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:
+        return [done.result() for done in [pool.submit(write) for write in writes]]
+
 
 def raw_path(root: str, source: str, entity: str) -> str:
     """Where the raw layer keeps `entity` of a source: API entities on top, feed members below gtfs/."""

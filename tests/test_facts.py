@@ -126,6 +126,14 @@ def test_stop_events_are_stops_times_days(spark, sf_dir):
     assert events.count() == expected > 0
 
 
+def test_active_stop_events(spark, sf_dir):
+    src = Inputs(spark, sf_dir)
+    inputs = [src(n) for n in ("stop_times", "trips", "routes", "calendar", "stops", "municipalities")]
+    active = [df if i != 3 else df.where("exception_type = 1") for i, df in enumerate(inputs)]
+    assert fact_stop_event(*inputs, active_only=True).count() == fact_stop_event(*active).count()
+    assert fact_stop_event(*active).count() < fact_stop_event(*inputs).count()
+
+
 def test_stop_without_numeric_municipality_drops_out(spark):
     stops = spark.createDataFrame(
         [(1, "a", "5"), (2, "b", "UNKNOWN"), (3, "c", None), (4, "d", "05")],

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +73,28 @@ def test_unchanged_input_changes_nothing(spark):
     assert before.exceptAll(after).count() == after.exceptAll(before).count() == 0
 
 
+def test_random_changes_against_a_plain_model(spark):
+    rng = random.Random(7)
+    states = [
+        {k: (rng.choice("ab"), rng.choice([None, 0.0, 1.0])) for k in range(60) if rng.random() < 0.8}
+        for _ in range(5)
+    ]
+    history, expected = None, []
+    for i, now in enumerate(states):
+        df = spark.createDataFrame([(k, *v) for k, v in now.items()], "id int, name string, lat double")
+        current = df.withColumn("ingested_at", at(i)).select(SPEC.columns)
+        history = (
+            first_snapshot(current, "id", at(0)) if i == 0 else scd2(history, current, "id", SPEC.check, at(i))
+        )
+        for k, v in now.items():
+            held = next((r for r in expected if r[0] == k and r[4] is None), None)
+            if held is None or (held[1], held[2]) != v:
+                if held is not None:
+                    held[4] = i + 1
+                expected.append([k, *v, i + 1, None])
+    assert summary(history) == sorted(map(tuple, expected), key=lambda r: (r[0], r[3]))
+
+
 def test_ingested_at_is_carried_but_not_compared(spark):
     rows = {r.id: r for r in history_of(spark, 4).where(F.col(VALID_TO).isNull()).collect()}
     assert rows[1].ingested_at.day == 1 and rows[4].ingested_at.day == 2
