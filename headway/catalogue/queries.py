@@ -591,12 +591,12 @@ def peak_schedule(src: Inputs) -> DataFrame:
 
 @query("stops_by_municipality")
 def stops_by_municipality(src: Inputs) -> DataFrame:
-    return analyses.stops_by_municipality(rollups.lines_per_stop(*_fact_inputs(src)))
+    return analyses.stops_by_municipality(rollups.stops_served(*_fact_inputs(src)))
 
 
 @query("stops_by_region")
 def stops_by_region(src: Inputs) -> DataFrame:
-    return analyses.stops_by_region(rollups.lines_per_stop(*_fact_inputs(src)))
+    return analyses.stops_by_region(rollups.stops_served(*_fact_inputs(src)))
 
 
 @query("stops_near_school")

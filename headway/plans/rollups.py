@@ -27,8 +27,6 @@ from headway.plans.facts import (
 TRIP_COUNT = "trip_count"
 STOP_EVENT_COUNT = "stop_event_count"
 
-SERVED_BY = ("stop_id", "service_id", "line_id", "line_long_name", "line_short_name")
-
 
 def trips_per_day(trips: DataFrame, calendar: DataFrame) -> DataFrame:
     """(trip_date, trip_count): scheduled trips per service and day."""
@@ -67,12 +65,9 @@ def trips_by_peak(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame)
     )
 
 
-def _calls_per_line(
-    stop_times: DataFrame, trips: DataFrame, routes: DataFrame
-) -> DataFrame:
-    """Calls at each stop per service and line, over all trips, whatever their days."""
-    calls = stop_times.select("trip_id", "stop_id").join(trips_with_routes(trips, routes), "trip_id")
-    return calls.groupBy(*SERVED_BY).agg(F.count(F.lit(1)).alias(STOP_EVENT_COUNT))
+def _running(trips: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Trips whose service runs on some day. A semi join: the calendar multiplies nothing."""
+    return trips.join(calendar.select("service_id").distinct(), "service_id", "left_semi")
 
 
 def stop_events_per_day(
@@ -84,8 +79,12 @@ def stop_events_per_day(
     municipalities: DataFrame,
 ) -> DataFrame:
     """Stop events per stop, line, service and day."""
-    calls = _calls_per_line(stop_times, trips, routes).join(
-        stops_enriched(stops, municipalities), "stop_id"
+    calls = (
+        stop_times.select("trip_id", "stop_id")
+        .join(trips_with_routes(trips, routes), "trip_id")
+        .groupBy("stop_id", "service_id", "line_id", "line_long_name", "line_short_name")
+        .agg(F.count(F.lit(1)).alias(STOP_EVENT_COUNT))
+        .join(stops_enriched(stops, municipalities), "stop_id")
     )
     return trips_with_dates(calls, calendar).select(
         F.col("service_date").alias("stop_event_date"),
@@ -113,18 +112,33 @@ def lines_per_stop(
     stops: DataFrame,
     municipalities: DataFrame,
 ) -> DataFrame:
-    """Stops and the lines that call there on some day; no dates, no counts.
-
-    A service without days makes no events, hence the semi join. It only asks for
-    existence, so the calendar multiplies nothing.
-    """
-    running = calendar.select("service_id").distinct()
-    served = (
-        _calls_per_line(stop_times, trips, routes)
-        .join(running, "service_id", "left_semi")
+    """Stops and the lines that call there on some day, each pair once; no dates, no counts."""
+    lines = (
+        stop_times.select("trip_id", "stop_id")
+        .join(trips_with_routes(_running(trips, calendar), routes), "trip_id")
         .select("stop_id", "line_id", "line_long_name", "line_short_name")
+        .distinct()
+    )
+    return lines.join(stops_enriched(stops, municipalities), "stop_id")
+
+
+def stops_served(
+    stop_times: DataFrame,
+    trips: DataFrame,
+    routes: DataFrame,
+    calendar: DataFrame,
+    stops: DataFrame,
+    municipalities: DataFrame,
+) -> DataFrame:
+    """Stops where some trip of a known route calls on some day, each once."""
+    known = _running(trips, calendar).join(routes, "route_id", "left_semi")
+    called = (
+        stop_times.select("trip_id", "stop_id")
+        .join(known, "trip_id", "left_semi")
+        .select("stop_id")
+        .distinct()
     )
-    return served.join(stops_enriched(stops, municipalities), "stop_id")
+    return called.join(stops_enriched(stops, municipalities), "stop_id")
 
 
 def line_frequency_at_stops(
@@ -143,11 +157,9 @@ def line_frequency_at_stops(
     picked among the trips, before these meet the stop times.
     """
     days = calendar.select("service_id", "service_date")
-    of_line = (
-        trips_with_routes(trips, routes.where(F.col("line_id") == line_id))
-        .select("trip_id", "service_id")
-        .join(days.select("service_id").distinct(), "service_id", "left_semi")
-    )
+    of_line = trips_with_routes(
+        _running(trips, calendar), routes.where(F.col("line_id") == line_id)
+    ).select("trip_id", "service_id")
     per_trip = (
         stop_times.select("trip_id", "stop_id")
         .join(of_line, "trip_id")

@@ -70,15 +70,19 @@ def test_counts_per_day(src, events, name):
     same(ask(events), ask(rolled, rollups.STOP_EVENT_COUNT))
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["stops_by_municipality", "stops_by_region", "top10_lines_for_stop", "which_lines_for_each_stop"],
-)
-def test_lines_and_stops(src, events, name):
+@pytest.mark.parametrize("name", ["top10_lines_for_stop", "which_lines_for_each_stop"])
+def test_lines_of_stops(src, events, name):
     ask = getattr(analyses, name)
     same(ask(events), ask(rollups.lines_per_stop(*map(src, FACT_INPUTS))))
 
 
+@pytest.mark.parametrize("name", ["stops_by_municipality", "stops_by_region"])
+@pytest.mark.parametrize("rollup", [rollups.stops_served, rollups.lines_per_stop])
+def test_stops_of_areas(src, events, name, rollup):
+    ask = getattr(analyses, name)
+    same(ask(events), ask(rollup(*map(src, FACT_INPUTS))))
+
+
 def test_line_frequency(src, events):
     same(
         analyses.line_frequency(events, LINE_ID),
