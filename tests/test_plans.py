@@ -100,6 +100,14 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("name", ["fact_trip_schedule", "fact_stop_event"])
+def test_rows_multiplied_by_the_calendar_are_not_shuffled(spark, sf_dir, name):
+    lines = plan_of(QUERIES[name](spark, sf_dir)).splitlines()
+    first_join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert "[service_id" in lines[first_join]
+    assert not any("Exchange" in line for line in lines[:first_join])
+
+
 def test_scans_read_only_what_is_needed(spark, sf_dir):
     plan = plan_of(QUERIES["trips_by_date"](spark, sf_dir))
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
