@@ -83,7 +83,8 @@ def apply_changes(
     version, and so does a key that `current` no longer has.
 
     One full outer join on the key yields both rows of a change at once, so each
-    side is shuffled once however the key fared.
+    side is shuffled once however the key fared. `key` must be unique in `current`,
+    which the `unique` check of the dimension verifies.
     """
     columns = current.columns
     held = open_rows.select(
