@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -25,6 +24,7 @@ def build_session(
     one day. It sets how many partitions a shuffle starts with, so that one fits in
     memory; adaptive execution joins those that turn out small, and aims at their
     advisory size rather than at one for every core, so that files come out whole.
+    It changes partition counts only, never rows.
 
     Adaptive execution does three jobs here: it turns a join into a broadcast
     join only once the measured size of a side allows it, it splits skewed join
@@ -55,14 +55,17 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path under the shared folder the cluster names in spark.checkpoint.dir.
+    """A new path in the shared folder of the cluster.
 
-    Only a local master may fall back to a folder of this machine: elsewhere the
-    executors would each write to their own disk.
+    That is spark.checkpoint.dir or, where it is unset, the warehouse. A warehouse
+    left at its default is a folder of the driver's machine; on a cluster that is
+    refused, since each executor would write to its own disk. A folder named in
+    spark.checkpoint.dir is taken as shared, whatever its scheme: it may be mounted.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        root = spark.conf.get(WAREHOUSE_DIR)
+        on_one_machine = spark.sparkContext.master.startswith("local")
+        if root.startswith(("file:", "/")) and not on_one_machine:
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="headway-", dir="/tmp")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
