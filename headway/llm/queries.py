@@ -5,12 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import vafile, warc
+from headway.llm import bpe, vafile, warc
 from headway.llm.shared import settle, table
 
+#: Vocabulary file that the queries encode with.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -104,3 +108,16 @@ with whole as (
 )
 select query_id, cast(place as integer) as rank, vec_id, score from ranked where place <= 20
 """
+
+
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every text: counts and digests of the ids and of the decoded text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    return both.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
