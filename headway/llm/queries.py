@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, vafile, warc
+from headway.llm import bpe, forest, vafile, warc
 from headway.llm.shared import settle, table
 
 #: Vocabulary file that the queries encode with.
@@ -121,3 +121,39 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents: the class of each, and the number of its links."""
+    return forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_jaccard_join"] = r"""
+with recursive words as (
+    select doc_id, [w for w in string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[ \t\n\x0B\f\r]+') if w <> ''] as w
+    from documents
+), shingles as (
+    select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ')
+               else array_to_string(list_slice(w, i, i + 4), ' ') end as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+), links as (
+    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where common.n / (x.n + y.n - common.n) >= 0.8
+), reached(a, b) as (
+    select doc_id, doc_id from documents
+    union
+    select r.a, l.b from reached r join links l on r.b = l.a
+), classes as (
+    select a, min(b) as class_id from reached group by a
+)
+select d.doc_id, c.class_id, cast((select count(*) from links l where l.a = d.doc_id) as bigint) as n_links
+from documents d join classes c on c.a = d.doc_id
+"""
