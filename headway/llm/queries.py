@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, vafile, warc
-from headway.llm.shared import settle, table
+from headway.llm import bpe, forest, language, vafile, warc
+from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -157,3 +157,15 @@ with recursive words as (
 select d.doc_id, c.class_id, cast((select count(*) from links l where l.a = d.doc_id) as bigint) as n_links
 from documents d join classes c on c.a = d.doc_id
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicts the language of every text, learning from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = remainder(F.col("doc_id"), 4)
+    model = language.train(docs.where(rest != 2))
+    held_out = F.coalesce(rest == 2, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", "text", held_out), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
