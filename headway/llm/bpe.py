@@ -17,13 +17,15 @@ Defined results
 
 from __future__ import annotations
 
-import heapq
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,9 @@ from pyspark.sql.functions import arrow_udf
 from headway.llm.shared import list_array, segments
 
 #: Entries a worker keeps of words it has met; beyond that it starts again. A cache only.
-CACHED = 300_000
+CACHED = 400_000
+#: Marks a symbol that has been merged into the one before it; no id is as large.
+GONE = 0x7FFFFFFF
 #: Blank for Python's str.split() but not for the pattern's \s.
 NOT_BLANK = regex.compile("[\x1c-\x1f]")
 
@@ -73,10 +77,10 @@ class Codec:
         self.suffix = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.merges = {vocab[a] << 32 | vocab[b]: rank << 32 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         letters = byte_alphabet()
-        self.inner = [vocab.get(c) for c in letters]
-        self.final = [vocab.get(c + self.suffix) for c in letters]
+        self.inner = [vocab[c] for c in letters]
+        self.final = [vocab[c + self.suffix] for c in letters]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         by_length = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("|".join(map(regex.escape, by_length))) if by_length else None
@@ -85,35 +89,47 @@ class Codec:
         self.chunks = Kept(self.chunk)
 
     def merge(self, piece: str) -> bytes:
-        """Ids of one piece, as the bytes of 32-bit integers."""
+        """Ids of one piece, as the bytes of 32-bit integers.
+
+        A heap entry is one number, rank and new id above the place; it is stale if the symbols that
+        are now at its place would not merge to just that.
+        """
         data = piece.encode()
-        ids = [self.inner[b] for b in data[:-1]] + [self.final[data[-1]]]
-        ids = [i for i in ids if i is not None]
+        inner, merge_of = self.inner, self.merges.get
+        ids = [inner[b] for b in data]
+        ids[-1] = self.final[data[-1]]
         n = len(ids)
+        heap = []
+        for at in range(n - 1):
+            if (found := merge_of(ids[at] << 32 | ids[at + 1])) is not None:
+                heap.append(found << 32 | at)
+        if not heap:
+            return array("i", ids).tobytes()
+        heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        merges = self.merges
-        heap = [
-            (*found, at, ids[at], ids[at + 1]) for at in range(n - 1) if (found := merges.get((ids[at], ids[at + 1])))
-        ]
-        heapq.heapify(heap)
         while heap:
-            _, new, at, left, right = heapq.heappop(heap)
+            entry = heappop(heap)
+            at = entry & 0xFFFFFFFF
             other = after[at]
-            if ids[at] != left or other >= n or ids[other] != right:
+            if other >= n or merge_of(ids[at] << 32 | ids[other]) != entry >> 32:
                 continue
-            ids[at], ids[other] = new, -1
+            new = entry >> 32 & 0xFFFFFFFF
+            ids[at], ids[other] = new, GONE
             after[at] = following = after[other]
             if following < n:
                 before[following] = at
-                if found := merges.get((new, ids[following])):
-                    heapq.heappush(heap, (*found, at, new, ids[following]))
-            if (previous := before[at]) >= 0 and (found := merges.get((ids[previous], new))):
-                heapq.heappush(heap, (*found, previous, ids[previous], new))
-        return np.array([i for i in ids if i >= 0], np.int32).tobytes()
+                if (found := merge_of(new << 32 | ids[following])) is not None:
+                    heappush(heap, found << 32 | at)
+            previous = before[at]
+            if previous >= 0 and (found := merge_of(ids[previous] << 32 | new)) is not None:
+                heappush(heap, found << 32 | previous)
+        return array("i", [i for i in ids if i != GONE]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of a run of characters without white space."""
         pieces = self.pieces
+        if chunk.isalpha():
+            return pieces[chunk]
         return b"".join([pieces[p] for p in self.pattern.findall(chunk)])
 
     def plain(self, text: str) -> bytes:
@@ -168,7 +184,9 @@ def decoded(ids: Column, path: str) -> Column:
     @arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         one = codec(path)
-        return pa.array([one.decode(x.as_py()) if x.is_valid else "" for x in lists], pa.string())
+        ends = segments(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        return pa.array([one.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
 
     return decode(ids)
 
