@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, vafile, warc
+from headway.llm import bpe, forest, language, pii, vafile, warc
 from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
@@ -169,3 +169,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text", held_out), model).select(
         "doc_id", "held_out", "lang_pred", "score"
     )
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base matches, and what the trained classifier adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [pii.base_count(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")
+    )
