@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, pii, vafile, warc
+from headway.llm import bpe, forest, language, mixing, pii, vafile, warc
 from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
@@ -181,3 +181,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")
     )
+
+
+#: Powers that the observed shares are raised to: sources and languages move towards each other.
+MIX_POWER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, probability and draw of every document of the fitted mix."""
+    return mixing.mix(table(spark, sf_dir, "documents"), MIX_POWER, budget=0.5)
