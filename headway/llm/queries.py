@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, mixing, pii, vafile, warc
+from headway.llm import bpe, forest, language, mixing, pii, spotsigs, vafile, warc
 from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
@@ -191,3 +191,18 @@ MIX_POWER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, probability and draw of every document of the fitted mix."""
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_POWER, budget=0.5)
+
+
+@query
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and how alike they and the next one's are."""
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("signatures")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "length_part",
+    )
