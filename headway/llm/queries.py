@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, mixing, pii, spotsigs, vafile, warc
+from headway.llm import bpe, forest, language, mixing, pii, spotsigs, trie_lm, vafile, warc
 from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
@@ -206,3 +206,21 @@ def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_next",
         "length_part",
     )
+
+
+@query
+def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every text by a trie of the n-grams of the texts that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trie, words = trie_lm.build(docs.where(remainder(F.col("doc_id"), 7) != 2))
+    scores = trie_lm.score(docs, trie, words)
+    held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    return scores.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(trie.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
