@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, mixing, pii, spotsigs, trie_lm, vafile, warc
+from headway.llm import bpe, forest, language, mixing, packing, pii, spotsigs, trie_lm, vafile, warc
 from headway.llm.shared import remainder, settle, table
 
 #: Vocabulary file that the queries encode with.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: Rank file that texts are packed with, and the free id that fills the rows.
+RANKS, PAD = public_tokenizers.path("byte_bpe_50k.tiktoken"), 50_256
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,3 +226,22 @@ def op10_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in packed rows of 2048 byte-level ids: one row per packed row, with digests of
+    its ids and positions."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = packing.token_ids(F.col("text"), RANKS, public_tokenizers.PATTERN)
+    blocks = packing.pack(docs.select("doc_id", ids.alias("token_ids")), pad=PAD)
+    return packing.rows_of(blocks).select(
+        "block_id",
+        "row",
+        F.element_at("cu_seqlens", -1).cast("long").alias("n_tokens"),
+        "doc_ids",
+        "starts",
+        "cu_seqlens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+    )
