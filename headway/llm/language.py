@@ -274,7 +274,9 @@ def predicted(text: Column, model: Model | None) -> Column:
     return predict(text)
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score. The model is bounded by its parameters and sent to all workers."""
-    guess = docs.withColumn("_guess", predicted(F.col(text_col), model))
-    return guess.withColumns({"lang_pred": F.col("_guess.lang"), "score": F.col("_guess.score")}).drop("_guess")
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with the predicted language and its score. The model is bounded by its parameters and sent
+    to all workers."""
+    guess = "_".join(["guess", *docs.columns])
+    guessed = docs.withColumn(guess, predicted(F.col(text_col), model))
+    return guessed.withColumns({lang_pred: F.col(f"`{guess}`.lang"), score: F.col(f"`{guess}`.score")}).drop(guess)

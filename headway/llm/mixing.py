@@ -51,12 +51,19 @@ def topic_of(text: Column, n_tokens: Column, topics: dict[str, str]) -> Column:
     return F.when(best["n"] * 50 >= F.greatest(n_tokens, F.lit(1)), best["topic"]).otherwise("general")
 
 
-def described(docs: DataFrame, topics: dict[str, str] = TOPICS) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens of every document."""
+def described(docs: DataFrame, topics: dict[str, str] = TOPICS, row: str | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens of every document; under the name `row`, all its columns."""
     text = text_or_empty(F.col("text").cast("string"))
     named = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in ("source", "lang")]
-    counted = docs.select("doc_id", *named, text.alias("text"), F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("n_tokens"))
-    return counted.select("doc_id", "source", "lang", topic_of(F.col("text"), F.col("n_tokens"), topics).alias("topic"), "n_tokens")
+    counted = docs.select(
+        "doc_id",
+        *named,
+        text.alias("text"),
+        F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("n_tokens"),
+        *([F.struct(*docs.columns).alias(row)] if row else []),
+    )
+    topic = topic_of(F.col("text"), F.col("n_tokens"), topics).alias("topic")
+    return counted.select("doc_id", "source", "lang", topic, "n_tokens", *([row] if row else []))
 
 
 def tempered(totals: dict[str, float], power: float) -> dict[str, float]:
@@ -195,6 +202,12 @@ def with_probabilities(docs: DataFrame, fit: Fit | None, seed: int = 0) -> DataF
     )
 
 
+def drawn(docs: DataFrame, power: dict[str, float], budget: float = 0.5, seed: int = 0, **options: object) -> DataFrame:
+    """The documents that are drawn, with their own columns."""
+    fit = rake(settle(described(docs), "mix-documents"), power, budget=budget, **options)
+    return with_probabilities(described(docs, row="whole"), fit, seed).where("sampled").select("whole.*")
+
+
 def mix(docs: DataFrame, power: dict[str, float], budget: float = 0.5, seed: int = 0, **options: object) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, probability, sampled of every document."""
     facts = settle(described(docs), "mix-documents")
