@@ -143,8 +143,12 @@ def with_next(docs: DataFrame, carried: list[str], rows_per_bucket: int = 500) -
         return docs.withColumns({f"next_{c}": F.col(c) for c in carried})
     by_group = docs.sparkSession.createDataFrame(list(after.items()), "g int, group_next long")
     within = F.lead("first_id").over(Window.partitionBy("g").orderBy("c"))
-    following = firsts.withColumn("within", within).join(F.broadcast(by_group), "g").select(
-        "g", "c", F.coalesce("within", "group_next").alias("n_id")
+    # Written, so that Spark knows how small it is before it plans the join with the texts.
+    following = settle(
+        firsts.withColumn("within", within)
+        .join(F.broadcast(by_group), "g")
+        .select("g", "c", F.coalesce("within", "group_next").alias("n_id")),
+        "spot-following",
     )
     row = F.struct(F.col("text").alias("k"), *[F.col(c).alias(f"v_{c}") for c in carried])
     starts = docs.select(F.col("doc_id").alias("n_id"), row.alias("row"))
