@@ -1,19 +1,24 @@
 """The same questions in plain SQL for DuckDB.
 
-Written from the meaning of each model rather than from the DataFrame code: facts are
-joined in full, the analyses run over those facts, ranks are windows, and copies are
-removed last.
+Each statement starts from the question: what a trip's times come to is read off lists of them, the
+days of a service are one list beside each trip, a stop event is described from four sides, and what a
+side lacks is looked up. The analyses run over the full facts, and copies are removed last. Column
+lists that the library is checked for are stated here again.
 """
 
 from __future__ import annotations
 
 from headway.catalogue.inputs import duckdb_sql
 from headway.catalogue.queries import AS_OF, LINE_ID, RUN_AT, SNAPSHOT_TIMES
-from headway.operators.history import SNAPSHOTS
-from headway.operators.merge import MERGES
-from headway.plans.staging_views import ROUTE_COLUMNS, STOP_COLUMNS, STOP_SENTINEL_COLUMNS
+from headway.catalogue.stated import (
+    ARRAYS,
+    MERGED,
+    ROUTE_COLUMNS,
+    STOP_COLUMNS,
+    STOP_SENTINEL_COLUMNS,
+    TRACKED,
+)
 from headway.schemas import feed_schema, lineage_column
-from headway.sources.staging import ARRAY_COLUMNS
 
 STAMP = f"'{RUN_AT}' ingested_at"
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
@@ -54,12 +59,12 @@ def _staged(table: str) -> str:
 
 
 def _merged(entity: str, match_partition: bool = True) -> str:
-    spec = MERGES[entity]
+    feed_key, left_out, renamed = MERGED[entity]
     ours = feed_schema(f"endpoint_{entity}").fieldNames()
     theirs = feed_schema(f"gtfs_{entity}").fieldNames()
-    kept = [f"e.{c}" for c in ours if c not in spec.exclude]
+    kept = [f"e.{c}" for c in ours if c not in left_out]
     kept += [
-        f"g.{c} {spec.rename.get(c, c)}" for c in theirs if c not in ours and c not in spec.exclude
+        f"g.{c} {renamed.get(c, c)}" for c in theirs if c not in ours and c not in left_out
     ]
     key = "try_cast(e.id as bigint)" if entity == "stops" else "e.id"
     same_day = "and e.partition_date = g.partition_date" if match_partition else ""
@@ -67,7 +72,7 @@ def _merged(entity: str, match_partition: bool = True) -> str:
         select distinct {', '.join(kept)}, e._endpoint, g._source_file, e.ingested_at,
                e.partition_date
         from ({_staged(f"endpoint_{entity}")}) e join ({_staged(f"gtfs_{entity}")}) g
-          on {key} = g.{spec.feed_key} {same_day}"""
+          on {key} = g.{feed_key} {same_day}"""
 
 
 def _array(column: str) -> str:
@@ -78,7 +83,7 @@ def _array(column: str) -> str:
 def _view(entity: str, columns: list[str]) -> str:
     shown = []
     for c in columns:
-        if c in ARRAY_COLUMNS[entity]:
+        if c in ARRAYS[entity]:
             shown.append(f"{_array(c)} {c}")
         elif entity == "stops" and c in STOP_SENTINEL_COLUMNS:
             shown.append(f"replace(replace({c}, 'NaN', 'N/A'), 'UNKNOWN', 'N/A') {c}")
@@ -103,59 +108,92 @@ def _latest(table: str, columns: str = "*", anchor: str | None = None, replace:
         where partition_date = (select max(partition_date) from {anchor or table})"""
 
 
+# What a trip's stop times come to, by lists of its times: the question is about one trip at a time.
+TRIP_TIMES = f"""
+    select trip_id, list(leaves) leaves, list(arrives) arrives, max(shape_dist_traveled) far,
+           count(*) total_stops
+    from (select trip_id, shape_dist_traveled, {_seconds("departure_time")} leaves,
+                 {_seconds("arrival_time")} arrives from stop_times)
+    group by trip_id"""
+
 TRIP_SUMMARY = f"""
-    select trip_id, min({_seconds("departure_time")} % 86400) departure_time_begin,
-           max({_seconds("arrival_time")} % 86400) arrival_time_end,
-           round((max({_seconds("arrival_time")}) - min({_seconds("departure_time")})) / 60)
-               duration_minutes,
-           round(max(shape_dist_traveled), 2) distance_km, count(*) total_stops
-    from stop_times group by trip_id"""
+    select trip_id, list_min([x % 86400 for x in leaves]) departure_time_begin,
+           list_max([x % 86400 for x in arrives]) arrival_time_end,
+           round((list_max(arrives) - list_min(leaves)) / 60) duration_minutes,
+           round(far, 2) distance_km, total_stops
+    from ({TRIP_TIMES})"""
 
 PEAK = """(day_type = 1 and exception_type = 1 and holiday = 0
     and ({0} between 25200 and 32400 or {0} between 61200 and 72000))"""
 
+# The days of a service as one list, taken apart again beside each of its trips.
+SERVICE_DAYS = """
+    select service_id, list({'service_date': service_date, 'date': date, 'day_type': day_type,
+                             'exception_type': exception_type, 'holiday': holiday}) runs
+    from {0} group by service_id"""
+
 TRIP_PEAK = f"""
-    select trip_id, service_date, min(clock) first_departure, day_type, exception_type, holiday,
-           coalesce({PEAK.format("min(clock)")}, false) is_peak
-    from (select trip_id, {_seconds("departure_time")} % 86400 clock from stop_times) departures
-    join trips using (trip_id) join calendar using (service_id)
-    group by trip_id, service_date, day_type, exception_type, holiday"""
+    select distinct trip_id, service_date, first_departure, day_type, exception_type, holiday,
+           coalesce({PEAK.format("first_departure")}, false) is_peak
+    from (select trip_id, first_departure, unnest(runs, recursive := true)
+          from (select trip_id, departure_time_begin first_departure,
+                       (select service_id from trips where trips.trip_id = s.trip_id) service_id
+                from ({TRIP_SUMMARY}) s)
+          natural join ({SERVICE_DAYS.replace("{0}", "calendar")}))"""
 
 
 def _schedule(calendar: str = "calendar") -> str:
+    """Each trip with its own summary, if it has stop times, once for every day in its service's list."""
+    told = "departure_time_begin arrival_time_end duration_minutes distance_km total_stops".split()
+    looked_up = ", ".join(
+        f"(select {c} from summary where summary.trip_id = trips.trip_id) {c}" for c in told
+    )
     return f"""
-    select {_key("t.trip_id", "day.service_date")} trip_key, t.trip_id,
-           cast(day.service_date as string) trip_date, t.route_id, t.pattern_id, t.shape_id,
-           t.service_id, t.direction_id, t.trip_headsign, whole.departure_time_begin departure_time,
-           whole.arrival_time_end arrival_time, whole.duration_minutes,
-           coalesce(peak.is_peak, false) is_peak, coalesce(whole.distance_km, 0) distance_km,
-           whole.total_stops, {STAMP}
-    from trips t join {calendar} day on t.service_id = day.service_id
-    left join ({TRIP_SUMMARY}) whole on t.trip_id = whole.trip_id
-    left join ({TRIP_PEAK}) peak
-      on peak.trip_id = t.trip_id and peak.service_date = day.service_date"""
+    select {_key("trip_id", "service_date")} trip_key, trip_id, cast(service_date as string) trip_date,
+           route_id, pattern_id, shape_id, service_id, direction_id, trip_headsign,
+           departure_time_begin departure_time, arrival_time_end arrival_time, duration_minutes,
+           coalesce({PEAK.format("departure_time_begin")}, false) is_peak,
+           coalesce(distance_km, 0) distance_km, total_stops, {STAMP}
+    from (with summary as materialized ({TRIP_SUMMARY})
+          select * exclude (runs), unnest(runs, recursive := true)
+          from (select trips.*, {looked_up} from trips)
+          natural join ({SERVICE_DAYS.replace("{0}", calendar)}))"""
 
 
 SCHEDULE = f"with fact_trip_schedule as ({_schedule()})"
 
+# A stop event is a call seen from four sides, each described on its own: its trip, its stop, its day,
+# and the call itself.
+TRIP_SIDE = """
+    select trip_id, service_id, route_id, unnest(line) from (
+      select trip_id, service_id, route_id,
+             (select {'line_id': line_id, 'line_long_name': line_long_name,
+                      'line_short_name': line_short_name, 'route_long_name': route_long_name,
+                      'route_short_name': route_short_name,
+                      'serves_school_route': coalesce(school = 1, false)}
+              from routes where routes.route_id = trips.route_id) line
+      from trips) named
+    where line is not null"""
+STOP_SIDE = """
+    select stop_id, stop_name, municipality_id, municipality_name, region_id, region_name,
+           district.district_id, district.district_name,
+           coalesce(near_school = 1, false) is_near_school
+    from (select *, (select {'district_id': district_id, 'district_name': district_name}
+                     from municipalities
+                     where municipalities.municipality_id = try_cast(stops.municipality_id as bigint))
+                    district
+          from stops)
+    where district is not null"""
+DAY_SIDE = """
+    select service_id, cast(service_date as string) stop_event_date, coalesce(holiday = 1, false) is_holiday,
+           coalesce(day_type = 2 or day_type = 3, false) is_weekend
+    from calendar"""
+
 STOP_EVENT = f"""
-    select {_key("call.stop_id", "call.trip_id", "day.service_date", "call.stop_sequence")} stop_event_key,
-           cast(day.service_date as string) stop_event_date, call.stop_id, stop.stop_name,
-           stop.municipality_id, stop.municipality_name, stop.region_id, stop.region_name, town.district_id,
-           town.district_name, route.line_id, route.line_long_name, route.line_short_name, route.route_id,
-           route.route_long_name, route.route_short_name, call.trip_id, call.stop_sequence, call.pickup_type,
-           call.drop_off_type,
-           case when stop.near_school = 1 then true else false end is_near_school,
-           case when day.holiday = 1 then true else false end is_holiday,
-           case when day.day_type in (2, 3) then true else false end is_weekend,
-           case when route.school = 1 then true else false end serves_school_route,
-           1 stop_event_count, {STAMP}
-    from stop_times call
-    join trips trip on call.trip_id = trip.trip_id
-    join routes route on trip.route_id = route.route_id
-    join calendar day on trip.service_id = day.service_id
-    join stops stop on call.stop_id = stop.stop_id
-    join municipalities town on try_cast(stop.municipality_id as bigint) = town.municipality_id"""
+    select {_key("stop_id", "trip_id", "stop_event_date", "stop_sequence")} stop_event_key,
+           * exclude (service_id), 1 stop_event_count, {STAMP}
+    from (select trip_id, stop_id, stop_sequence, pickup_type, drop_off_type from stop_times)
+    natural join ({TRIP_SIDE}) natural join ({STOP_SIDE}) natural join ({DAY_SIDE})"""
 
 EVENTS = f"with fact_stop_event as ({STOP_EVENT})"
 
@@ -166,12 +204,11 @@ def _version(key: str, at: str) -> str:
 
 def _history(dimension: str, before: str, after: str) -> str:
     """WITH clause whose last relation, h2, is the history after three snapshots."""
-    spec = SNAPSHOTS[dimension]
-    k, columns = spec.key, [spec.key, *spec.check, "ingested_at"]
-    kept = ", ".join(columns)
+    k, checked = TRACKED[dimension]
+    kept = ", ".join([k, *checked, "ingested_at"])
     books = "dbt_scd_id, dbt_valid_from, dbt_valid_to"
     states = [
-        f"c{i} as (select {k}, {', '.join(spec.check)}, '{at}' ingested_at from {source})"
+        f"c{i} as (select {k}, {', '.join(checked)}, '{at}' ingested_at from {source})"
         for i, (source, at) in enumerate(zip((before, after, before), SNAPSHOT_TIMES))
     ]
     t0 = SNAPSHOT_TIMES[0]
@@ -181,7 +218,7 @@ def _history(dimension: str, before: str, after: str) -> str:
     ]
     for i in (1, 2):
         at, h, c = SNAPSHOT_TIMES[i], f"h{i - 1}", f"c{i}"
-        differs = " or ".join(f"o.{x} is distinct from n.{x}" for x in spec.check)
+        differs = " or ".join(f"o.{x} is distinct from n.{x}" for x in checked)
         steps.append(f"""
             changed{i} as (select o.{k} from {h} o join {c} n on o.{k} = n.{k}
                            where o.dbt_valid_to is null and ({differs}))""")
@@ -259,7 +296,7 @@ SQL = {
                {_filled("has_pole", "string")} from dirty""",
     "json_to_array": f"""
         select id, partition_date,
-               {", ".join(f"{_array(c)} {c}" for c in ARRAY_COLUMNS["stops"])}
+               {", ".join(f"{_array(c)} {c}" for c in ARRAYS["stops"])}
         from raw_endpoint_stops""",
     "dedup_full_row": f"""
         select distinct l_suppkey, l_linenumber, {_filled("dist", "double")},
@@ -340,10 +377,14 @@ SQL = {
     ),
     # -- dimensions and facts
     "dim_calendar_service": f"""
-        select {_key("d.date", "ci.service_id", "pi.period_id")} calendar_service_key,
-               cast(ci.service_date as string) service_date, d.date, ci.service_id, pi.period_id,
-               pi.period_name, {STAMP}
-        from dates d join calendar ci on d.date = ci.date join periods pi on d.period = pi.period_id""",
+        select {_key("date", "service_id", "period_id")} calendar_service_key,
+               cast(service_date as string) service_date, date, service_id, period_id, period_name,
+               {STAMP}
+        from (select date, period period_id, unnest(runs, recursive := true)
+              from dates natural join (
+                select date, list({{'service_id': service_id, 'service_date': service_date}}) runs
+                from calendar group by date))
+        natural join (select period_id, period_name from periods)""",
     "dim_line": f"""
         select {_key("route_id")} route_key, route_id, route_long_name, route_short_name, route_type,
                route_color, route_text_color, line_id, line_long_name, line_short_name, line_type,
@@ -368,18 +409,17 @@ SQL = {
                round(max(shape_dist_traveled), 2) distance_km, count(*) total_stops
         from stop_times group by trip_id""",
     "trips_with_routes": """
-        select t.trip_id, t.route_id, r.route_long_name, r.route_short_name, t.service_id,
-               r.line_id, r.line_long_name, r.line_short_name, r.school
-        from trips t join routes r on t.route_id = r.route_id""",
-    "trips_with_dates": """
-        select t.*, cast(cs.service_date as string) service_date, cs.date, cs.day_type,
-               cs.exception_type, cs.holiday
-        from trips t join calendar cs on t.service_id = cs.service_id""",
-    "stops_enriched": """
-        select s.stop_id, s.stop_name, s.municipality_id, s.municipality_name, s.region_id,
-               s.region_name, m.district_id, m.district_name, s.near_school
-        from stops s join municipalities m
-          on try_cast(s.municipality_id as bigint) = m.municipality_id""",
+        select * from (select trip_id, route_id, service_id from trips)
+        natural join (select route_id, route_long_name, route_short_name, line_id, line_long_name,
+                             line_short_name, school from routes)""",
+    "trips_with_dates": f"""
+        select * replace (cast(service_date as string) as service_date)
+        from (select * exclude (runs), unnest(runs, recursive := true)
+              from trips natural join ({SERVICE_DAYS.replace("{0}", "calendar")}))""",
+    "stops_enriched": f"""
+        select * exclude (is_near_school),
+               (select near_school from stops where stops.stop_id = side.stop_id) near_school
+        from ({STOP_SIDE}) side""",
     "trip_peak_analysis": f"""
         select * replace (cast(service_date as string) as service_date) from ({TRIP_PEAK}) p""",
     "fact_trip_schedule": _schedule(),
@@ -416,17 +456,15 @@ SQL = {
                round(stddev_samp(duration_minutes), 2) stddev_duration_minutes,
                count(*) total_trips_analyzed
         from fact_trip_schedule where duration_minutes > 0""",
-    "daily_line_frequency": f"""{EVENTS},
-        daily as (
-          select stop_id, stop_name, line_id, line_short_name, line_long_name, stop_event_date,
-                 count(*) n
-          from fact_stop_event
-          group by stop_id, stop_name, line_id, line_short_name, line_long_name, stop_event_date)
-        select stop_name, line_short_name, line_long_name, round(avg(n), 0) avg_daily_frequency,
-               min(n) min_daily_frequency, max(n) max_daily_frequency,
-               cast(sum(n) as bigint) total_frequency,
-               count(distinct stop_event_date) days_operated
-        from daily group by stop_id, stop_name, line_id, line_short_name, line_long_name""",
+    "daily_line_frequency": f"""{EVENTS}
+        select stop_name, line_short_name, line_long_name,
+               round(calls / len(per_day), 0) avg_daily_frequency,
+               cast(list_min(per_day) as bigint) min_daily_frequency,
+               cast(list_max(per_day) as bigint) max_daily_frequency, calls total_frequency,
+               cast(len(per_day) as bigint) days_operated
+        from (select stop_id, stop_name, line_id, line_short_name, line_long_name, count(*) calls,
+                     map_values(histogram(stop_event_date)) per_day
+              from fact_stop_event group by all)""",
     "distance_trip": f"""{SCHEDULE}
         select trip_id, trip_date, route_id, distance_km total_distance_km, duration_minutes
         from fact_trip_schedule where distance_km > 0""",
@@ -444,23 +482,18 @@ SQL = {
                    percentage_of_total
         from fact_trip_schedule group by is_peak""",
     "stops_by_municipality": f"""{EVENTS},
-        areas as (
-          select municipality_id, municipality_name, district_name, region_name,
-                 count(distinct stop_id) total_stops
-          from fact_stop_event
-          group by municipality_id, municipality_name, district_name, region_name)
-        select municipality_name, district_name, region_name, total_stops,
-               round(cast(100.0 * total_stops as double) / sum(total_stops) over (), 2)
+        served as (select distinct stop_id, municipality_id, municipality_name, district_name,
+                          region_name from fact_stop_event)
+        select municipality_name, district_name, region_name, count(*) total_stops,
+               round(cast(100.0 * count(*) as double) / (select count(*) from served), 2)
                    percentage_of_total
-        from areas""",
+        from served group by municipality_id, municipality_name, district_name, region_name""",
     "stops_by_region": f"""{EVENTS},
-        areas as (
-          select region_id, region_name, count(distinct stop_id) total_stops
-          from fact_stop_event group by region_id, region_name)
-        select region_name, total_stops,
-               round(cast(100.0 * total_stops as double) / sum(total_stops) over (), 2)
+        served as (select distinct stop_id, region_id, region_name from fact_stop_event)
+        select region_name, count(*) total_stops,
+               round(cast(100.0 * count(*) as double) / (select count(*) from served), 2)
                    percentage_of_total
-        from areas""",
+        from served group by region_id, region_name""",
     "stops_near_school": f"""{EVENTS}
         select stop_id, stop_name, municipality_name, district_name, region_name, is_near_school,
                count(distinct line_id) total_lines_serving,
