@@ -9,14 +9,16 @@ lists that the library is checked for are stated here again.
 from __future__ import annotations
 
 from headway.catalogue.inputs import duckdb_sql
-from headway.catalogue.queries import AS_OF, LINE_ID, RUN_AT, SNAPSHOT_TIMES
+from headway.catalogue.queries import AS_OF, LINE_ID, QUOTED_TRIPS, RUN_AT, SNAPSHOT_TIMES
 from headway.catalogue.stated import (
     ARRAYS,
     MERGED,
+    CHECKED,
     ROUTE_COLUMNS,
     STOP_COLUMNS,
     STOP_SENTINEL_COLUMNS,
     TRACKED,
+    UNREPEATED,
 )
 from headway.schemas import feed_schema, lineage_column
 
@@ -283,11 +285,18 @@ SQL = {
         "group by partition_date"
         for t in STAGED_TABLES
     ),
-    "fact_partitioned_sink": f"""{SCHEDULE}
-        select trip_date, count(*) row_count, count(distinct trip_key) keys,
-               cast(sum(total_stops) as bigint) stops, sum(duration_minutes) total_minutes,
-               sum(distance_km) distance
-        from fact_trip_schedule group by trip_date""",
+    "fact_partitioned_sink": _schedule(),
+    "read_gtfs_text_quoted": f"""
+        select trip_id, headsign trip_headsign, route_id, cast(null as bigint) direction_id,
+               'part' _source_file from ({QUOTED_TRIPS})""",
+    "stage_table_day": f"""
+        select * from ({_staged("trips")})
+        where case partition_date when '2024-01-01' then direction_id = 0
+                                  when '2024-01-02' then false else true end""",
+    "merge_staged": _merged("routes"),
+    "convert_staged": f"""
+        select * replace ({", ".join(f"{_array(c)} as {c}" for c in ARRAYS["lines"])})
+        from ({_staged("lines")})""",
     # -- cleaning
     "parse_partition_date": f"""
         select event_id, cast({_day("partition_date")} as string) partition_date from day_texts""",
@@ -312,6 +321,7 @@ SQL = {
     "merge_stops": _merged("stops"),
     "merge_stops_all_days": _merged("stops", match_partition=False),
     "latest_partition": _latest("staged_shapes"),
+    "latest_partition_on_disk": _latest("staged_shapes"),
     "latest_partition_anchored": _latest("staged_trips", anchor="staged_stop_times"),
     # -- functions
     "gtfs_clock_time": f"""
@@ -444,10 +454,10 @@ SQL = {
         f"(select {c} from fact_stop_event group by {c} having count(*) > 1)"
         for c in ("stop_event_key", "stop_id")
     ),
-    "dq_contract": _latest(
-        "staged_calendar_dates",
-        f"cast({_day('cast(date as string)')} as string) service_date, *",
-    ),
+    "dq_contract": """
+        select 'broken stg_municipalities' model, * from (values
+            ('district_id', 'bigint', 'string'), ('region_name', 'string', 'missing'),
+            ('surplus', 'missing', 'int')) faults(column_name, promised, found)""",
     # -- analyses
     "avgtime_trip": f"""{SCHEDULE}
         select round(avg(duration_minutes), 2) avg_trip_duration_minutes,
@@ -521,6 +531,29 @@ SQL = {
 }
 
 
+def _checks() -> str:
+    """Every declared check: missing values of all stated columns, then values that repeat."""
+    models = [f"{m} as materialized ({SQL[m]})" for m in CHECKED]
+    missing = []
+    for model, columns in CHECKED.items():
+        shown = f"columns([{', '.join(map(repr, columns))}])" if columns else "columns(*)"
+        missing.append(f"""
+            select '{model}' model, column_name, 'not_null' check_name, failures
+            from (unpivot (select count({shown}) from {model})
+                  on columns(*) into name column_name value present),
+                 lateral (select count(*) - present failures from {model})""")
+    repeated = [
+        f"select '{m}', '{c}', 'unique', count(*) from (select {c} from {m} where {c} is not null "
+        f"group by {c} having count(*) > 1)"
+        for m, columns in UNREPEATED.items()
+        for c in columns
+    ]
+    return f"with {', '.join(models)} {' union all '.join(missing + repeated)}"
+
+
+SQL["dq_all"] = _checks()
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name to the SQL DuckDB runs on the same tables."""
     return {name: duckdb_sql(sql) for name, sql in SQL.items()}

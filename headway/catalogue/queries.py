@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -27,18 +28,21 @@ from headway.operators.cleaning import (
     nested_to_json,
     normalise_sentinels,
 )
-from headway.operators.history import SNAPSHOTS, VALID_FROM, VALID_TO, as_of, first_snapshot, scd2
-from headway.operators.latest import latest_partition
+from headway.operators.history import SNAPSHOTS, VALID_FROM, VALID_TO, as_of
+from headway.operators.latest import latest_partition, newest_day
 from headway.operators.merge import MERGES, merge_sources
-from headway.operators.quality import enforce_contract, not_null_report, unique_report
-from headway.plans import analyses, dimensions, facts, rollups, staging_views
+from headway.operators.quality import contract_violations, not_null_report, unique_report
+from headway.plans import analyses, daily, dimensions, facts, rollups, staging_views
 from headway.plans.contracts import contract, not_null_columns
+from headway.plans.snapshots import read_snapshot, take_snapshot
 from headway.schemas import INGESTED_AT, feed_schema, raw_schema
 from headway.session import scratch_dir
 from headway.sources.landing import land, read_gtfs_text, read_json_payload
 from headway.sources.staging import (
     ARRAY_COLUMNS,
     StagedTable,
+    convert_staged,
+    merge_staged,
     parse_partition_date,
     stage,
     stage_all,
@@ -59,6 +63,13 @@ RUN_AT = "2024-01-03 04:00:00"
 SNAPSHOT_TIMES = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
 AS_OF = "2024-01-02 12:00:00"
 LINE_ID = "11"
+DAYS = tuple(dt.date(2024, 1, d) for d in (1, 2, 3))
+# Trips with head signs that need quoting in CSV, in SQL that Spark and DuckDB both read.
+QUOTED_TRIPS = """
+    select cast(o_orderkey as string) trip_id, cast(o_custkey as string) route_id,
+           case o_orderkey % 4 when 0 then 'plain' when 1 then 'Rua "A", Lisboa'
+                when 2 then concat('two', chr(10), '"lines"') else 'x, y' end headsign
+    from $orders"""
 
 QUERIES: dict[str, Query] = {}
 
@@ -160,6 +171,24 @@ def read_gtfs_text_member(src: Inputs) -> DataFrame:
     return read_gtfs_text(src.spark, path, feed_schema("stop_times")).drop("_source_file")
 
 
+@query("read_gtfs_text_quoted")
+def read_gtfs_text_quoted(src: Inputs) -> DataFrame:
+    """A feed member printed by hand: doubled quotes, commas and line breaks in quoted text."""
+    path = f"{scratch_dir(src.spark, 'landing')}/gtfs/trips.txt"
+    quoted = F.concat(F.lit('"'), F.replace("headsign", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", "trip_id", quoted, "route_id")
+    # A file, with its header, for every few thousand trips.
+    content = F.concat(F.lit("trip_id,trip_headsign,route_id\n"), F.array_join(F.collect_list(line), "\n"))
+    trips = src.query(QUOTED_TRIPS)
+    files = trips.groupBy(F.floor(F.col("trip_id").cast("bigint") / 5000)).agg(content.alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    read = read_gtfs_text(src.spark, path, feed_schema("trips"), multi_line=True)
+    return read.select(
+        "trip_id", "trip_headsign", "route_id", "direction_id",
+        F.regexp_extract("_source_file", r"^(part)-.*\.txt$", 1).alias("_source_file"),
+    )
+
+
 @query("dynamic_overwrite")
 def dynamic_overwrite(src: Inputs) -> DataFrame:
     """Two landed days, the second landed again with other rows: the first stays."""
@@ -188,6 +217,51 @@ def stage_table_rebuild(src: Inputs) -> DataFrame:
     return src.spark.read.parquet(path)
 
 
+@query("stage_table_day")
+def stage_table_days_again(src: Inputs) -> DataFrame:
+    """Two days landed and staged again, one with fewer rows and one with none; the rest stays."""
+    raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
+    table = StagedTable("trips", "gtfs", "trips")
+    raw = src("raw_trips")
+    replace_partitions(raw, raw_path(raw_root, "gtfs", "trips"))
+    path = stage_table(src.spark, raw_root, root, table, _run_at())
+    fewer = raw.where("partition_date = '20240101' and direction_id = 0")
+    for day, rows in (("20240101", fewer), ("20240102", raw.limit(0))):
+        land(rows, raw_root, "gtfs", "trips", day)
+        stage_table(src.spark, raw_root, root, table, _run_at(), day)
+    return src.spark.read.parquet(path)
+
+
+def _staged_on_disk(src: Inputs, *tables: StagedTable) -> str:
+    raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
+    for t in tables:
+        replace_partitions(src(f"raw_{t.schema}"), raw_path(raw_root, t.source, t.entity))
+        stage_table(src.spark, raw_root, root, t, _run_at())
+    return root
+
+
+@query("merge_staged")
+def merge_staged_day_by_day(src: Inputs) -> DataFrame:
+    """Staged API and feed routes merged one extraction day at a time."""
+    root = _staged_on_disk(
+        src,
+        StagedTable("routes", "endpoint", "endpoint_routes"),
+        StagedTable("routes", "gtfs", "gtfs_routes"),
+    )
+    for day in DAYS:
+        path = merge_staged(src.spark, root, "routes", _run_at(), day=day)
+    return src.spark.read.parquet(path)
+
+
+@query("convert_staged")
+def convert_staged_day_by_day(src: Inputs) -> DataFrame:
+    """The JSON text columns of the staged lines as arrays, one extraction day at a time."""
+    root = _staged_on_disk(src, StagedTable("lines", "endpoint", "lines"))
+    for day in DAYS:
+        path = convert_staged(src.spark, root, "lines", day)
+    return src.spark.read.parquet(path)
+
+
 @query("stage_all")
 def stage_all_tables(src: Inputs) -> DataFrame:
     """Every feed table landed and staged; rows per table and day."""
@@ -210,20 +284,10 @@ def stage_all_tables(src: Inputs) -> DataFrame:
 
 @query("fact_partitioned_sink")
 def fact_partitioned_sink(src: Inputs) -> DataFrame:
-    """The trip-schedule fact written by date and read back; totals per date."""
+    """The trip-schedule fact written by date and read back."""
     path = f"{scratch_dir(src.spark, 'marts')}/fact_trip_schedule"
     replace_table(_schedule(src), path, "trip_date", gather=False)
-    return (
-        src.spark.read.parquet(path)
-        .groupBy("trip_date")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct("trip_key").alias("keys"),
-            F.sum("total_stops").alias("stops"),
-            F.sum("duration_minutes").alias("total_minutes"),
-            F.sum("distance_km").alias("distance"),
-        )
-    )
+    return src.spark.read.parquet(path)
 
 
 # -- cleaning -----------------------------------------------------------------------------
@@ -294,6 +358,14 @@ def latest_partition_rows(src: Inputs) -> DataFrame:
     return latest_partition(src("staged_shapes"))
 
 
+@query("latest_partition_on_disk")
+def latest_partition_on_disk(src: Inputs) -> DataFrame:
+    """The newest day of a table partitioned by it, read off its folders."""
+    path = scratch_dir(src.spark, "staging")
+    replace_partitions(src("staged_shapes"), path)
+    return latest_partition(src.spark.read.parquet(path), day=newest_day(src.spark, path))
+
+
 @query("latest_partition_anchored")
 def latest_partition_anchored(src: Inputs) -> DataFrame:
     return latest_partition(src("staged_trips"), anchor=src("staged_stop_times"))
@@ -429,6 +501,19 @@ def stg_trips_anchored(src: Inputs) -> DataFrame:
     return staging_views.stg_trips(src("staged_trips"), src("staged_stop_times"))
 
 
+VIEW_QUERIES = {
+    "stg_calendar_service": stg_calendar_service,
+    "stg_dates": stg_dates,
+    "stg_municipalities": stg_municipalities,
+    "stg_periods": stg_periods,
+    "stg_routes": stg_routes,
+    "stg_shapes": stg_shapes,
+    "stg_stop_times": stg_stop_times,
+    "stg_stops": stg_stops,
+    "stg_trips": stg_trips,
+}
+
+
 # -- dimensions and facts -----------------------------------------------------------------
 
 
@@ -503,15 +588,14 @@ def fact_stop_event(src: Inputs) -> DataFrame:
 
 
 def _history(src: Inputs, dimension: str, before: str, after: str) -> DataFrame:
-    """Three snapshots: the dimension before, after, and as before again."""
+    """Three snapshots, kept on disk: the dimension before, after, and as before again."""
     spec = SNAPSHOTS[dimension]
-    states = [src(before), src(after), src(before)]
-    times = [F.to_timestamp(F.lit(t)) for t in SNAPSHOT_TIMES]
-    rows = [s.withColumn(INGESTED_AT, t).select(spec.columns) for s, t in zip(states, times)]
-    history = first_snapshot(rows[0], spec.key, times[0])
-    for current, at in zip(rows[1:], times[1:]):
-        history = scd2(history, current, spec.key, spec.check, at)
-    return history
+    root = scratch_dir(src.spark, "snapshots")
+    for state, at in zip((before, after, before), SNAPSHOT_TIMES):
+        rows = src(state).withColumn(INGESTED_AT, F.to_timestamp(F.lit(at)))
+        run_at = dt.datetime.fromisoformat(at).replace(tzinfo=dt.timezone.utc)
+        take_snapshot(src.spark, root, spec, rows, run_at)
+    return read_snapshot(src.spark, root, spec)
 
 
 @query("snapshot_dim_line")
@@ -548,14 +632,65 @@ def dq_not_null(src: Inputs) -> DataFrame:
 
 @query("dq_unique")
 def dq_unique(src: Inputs) -> DataFrame:
-    events = facts.fact_stop_event(*_fact_inputs(src), run_at=_run_at())
+    events = _written(src, facts.fact_stop_event(*_fact_inputs(src), run_at=_run_at()))
     return unique_report(events, ["stop_event_key", "stop_id"])
 
 
+def _written(src: Inputs, df: DataFrame) -> DataFrame:
+    path = scratch_dir(src.spark, "marts")
+    replace_table(df, path)
+    return src.spark.read.parquet(path)
+
+
+def _models(src: Inputs) -> dict[str, DataFrame]:
+    """The views, marts and snapshots that checks are declared for; what is a table, as written."""
+    views = {name: make(src) for name, make in VIEW_QUERIES.items()}
+    marts = {
+        name: _written(src, make(src))
+        for name, make in {
+            "dim_calendar_service": dim_calendar_service,
+            "dim_line": dim_line,
+            "dim_stop": dim_stop,
+            "dim_trip": dim_trip,
+            "fact_trip_schedule": fact_trip_schedule,
+            "fact_stop_event": fact_stop_event,
+        }.items()
+    }
+    snapshots = {
+        "snapshot_dim_line": snapshot_dim_line(src),
+        "snapshot_dim_stop": snapshot_dim_stop(src),
+        "snapshot_dim_trip": snapshot_dim_trip(src),
+    }
+    return {**views, **marts, **snapshots}
+
+
+@query("dq_all")
+def dq_all(src: Inputs) -> DataFrame:
+    """Every declared check of every model."""
+    return daily.check_all(src.spark, _models(src))
+
+
 @query("dq_contract")
 def dq_contract(src: Inputs) -> DataFrame:
-    view = staging_views.stg_calendar_service(src("staged_calendar_dates"))
-    return enforce_contract(view, contract("stg_calendar_service"), "stg_calendar_service")
+    """What the four promised schemas find: nothing in the models, three faults in a broken view."""
+    models = {
+        "fact_trip_schedule": _schedule(src),
+        "dim_calendar_service": dim_calendar_service(src),
+        "stg_municipalities": stg_municipalities(src),
+        "stg_calendar_service": stg_calendar_service(src),
+    }
+    found = [
+        (name, *fault)
+        for name, df in models.items()
+        for fault in contract_violations(df.schema, contract(name))
+    ]
+    broken = models["stg_municipalities"].drop("region_name").withColumns(
+        {"district_id": F.col("district_id").cast("string"), "surplus": F.lit(1)}
+    )
+    faults = contract_violations(broken.schema, contract("stg_municipalities"))
+    found += [("broken stg_municipalities", *fault) for fault in faults]
+    columns = "model string, column_name string, promised string, found string"
+    return src.spark.createDataFrame(found, columns)
 
 
 # -- analyses -----------------------------------------------------------------------------

@@ -87,3 +87,37 @@ TRACKED = {
         ).split(),
     ),
 }
+
+# Model: the columns that must not be NULL; none named stands for all.
+CHECKED = {
+    "stg_periods": "".split(),
+    "stg_shapes": "".split(),
+    "stg_municipalities": "".split(),
+    "stg_calendar_service": "".split(),
+    "stg_dates": "".split(),
+    "stg_stop_times": "".split(),
+    "stg_trips": "".split(),
+    "stg_routes": "route_id line_id locality_ids pattern_ids region_ids partition_date ingested_at".split(),
+    "stg_stops": "stop_id ingested_at partition_date".split(),
+    "fact_trip_schedule": "".split(),
+    "dim_calendar_service": "".split(),
+    "dim_stop": "".split(),
+    "fact_stop_event": "stop_event_key stop_event_date stop_id is_near_school ingested_at".split(),
+    "dim_trip": "".split(),
+    "dim_line": "route_key route_id line_id ingested_at".split(),
+    "snapshot_dim_stop": "stop_id".split(),
+    "snapshot_dim_line": "route_id".split(),
+    "snapshot_dim_trip": "trip_id".split(),
+}
+
+# Model: the columns whose values must not repeat.
+UNREPEATED = {
+    "stg_trips": "trip_id".split(),
+    "stg_routes": "route_id".split(),
+    "fact_trip_schedule": "trip_key".split(),
+    "dim_calendar_service": "calendar_service_key".split(),
+    "dim_stop": "stop_key stop_id".split(),
+    "fact_stop_event": "stop_event_key".split(),
+    "dim_trip": "trip_key trip_id".split(),
+    "dim_line": "route_key route_id".split(),
+}

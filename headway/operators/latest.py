@@ -4,10 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import PARTITION_COLUMN
+from headway.sources.tables import partition_values
+
+
+def newest_day(spark: SparkSession, path: str, column: str = PARTITION_COLUMN) -> dt.date | None:
+    """The newest day that a table on disk holds rows of; None if it holds none.
+
+    Read off the names of the partition folders. From the newest on, a day is asked for one
+    row: a day that was landed again without rows has a folder, but is not the latest.
+    """
+    for value in reversed(partition_values(spark, path, column)):
+        if not spark.read.parquet(f"{path}/{column}={value}").isEmpty():
+            return dt.date.fromisoformat(value)
+    return None
 
 
 def latest_partition(
@@ -18,10 +31,9 @@ def latest_partition(
 ) -> DataFrame:
     """Keep the rows of the newest day of `anchor` (of `df` itself by default).
 
-    The day is a scalar subquery in a filter, so on a table partitioned by it the
-    scan lists and reads that one partition; as a join it would read all of them.
-    The subquery itself reads file footers only. A caller that knows the day
-    passes it and saves even that.
+    `day`: the newest day, where the caller knows it, as `newest_day` reads it off the
+    folders of a table on disk. Otherwise it is a scalar subquery in a filter: the scan still
+    reads that one partition, but the subquery has a row of every retained day to go through.
     """
     if day is not None:
         return df.where(F.col(column) == F.lit(day))

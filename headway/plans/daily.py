@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.history import SNAPSHOTS
+from headway.operators.latest import newest_day
 from headway.operators.merge import MERGES
 from headway.operators.quality import enforce_contract
 from headway.plans.contracts import CONTRACTS, check_model, contract
@@ -21,7 +22,7 @@ from headway.plans.dimensions import dim_calendar_service, dim_line, dim_stop, d
 from headway.plans.facts import fact_stop_event, fact_trip_schedule
 from headway.plans.snapshots import read_snapshot, snapshot_dimensions
 from headway.plans.staging_views import VIEWS
-from headway.sources.landing import gtfs_members, land_endpoint, land_gtfs
+from headway.sources.landing import gtfs_members, land_endpoint, land_gtfs, landed_endpoints
 from headway.sources.staging import (
     ARRAY_COLUMNS,
     ENTITIES,
@@ -52,31 +53,60 @@ def run(
     full_refresh: bool = False,
     payload_shapes: Mapping[str, str] | None = None,
     extra_endpoints: Sequence[str] = (),
+    anchors: Mapping[str, str] | None = None,
+    active_only: bool = False,
+    clock: str = "wrapped",
+    match_partition: bool = True,
+    multi_line: bool = True,
+    multi_line_text: bool = False,
+    gather_facts: bool = False,
 ) -> DataFrame:
     """Process the files landed on `run_date` and return the report of the declared checks.
 
     By default staging touches only the new extraction day; `full_refresh` rebuilds
     it from all raw days. `payload_shapes` names the JSON shape of an entity where it
-    is not a plain list of rows. `extra_endpoints` are landed in the raw layer only.
+    is not a plain list of rows. `extra_endpoints` are landed in the raw layer only, as is
+    every other file or folder of the landing.
+
+    anchors: views that take the latest day from another table, such as CROSS_ANCHORS.
+    active_only, clock: see the facts. match_partition: see `merge_staged`; without it the
+    merged tables are rebuilt from all days. multi_line, multi_line_text: see the readers.
+    gather_facts: see `build_marts`.
+
+    The views and marts are checked before the snapshots are taken; a dimension that fails
+    a check of its own is not snapshotted, and the report says why. A run can be repeated
+    after a failure: what it had done comes out the same.
     """
     run_at = run_at or dt.datetime.now(dt.timezone.utc)
     stamp = F.lit(run_at).cast("timestamp")
     day = run_date.strftime("%Y%m%d")
     raw, staging = f"{warehouse}/raw", f"{warehouse}/staging"
 
-    land_all(spark, landing, raw, day, payload_shapes or {}, extra_endpoints)
+    shapes = payload_shapes or {}
+    land_all(spark, landing, raw, day, shapes, extra_endpoints, multi_line, multi_line_text)
     stage_all(spark, raw, staging, stamp, None if full_refresh else day)
-    one_day = None if full_refresh else run_date
+    one_day = None if full_refresh or not match_partition else run_date
     in_parallel(
-        partial(merge_staged, spark, staging, entity, stamp, day=one_day) for entity in MERGES
+        partial(merge_staged, spark, staging, entity, stamp, match_partition, one_day)
+        for entity in MERGES
     )
     in_parallel(
         partial(convert_staged, spark, staging, table, day=one_day) for table in ARRAY_COLUMNS
     )
-    build_marts(spark, warehouse, stamp)
+    build_marts(spark, warehouse, stamp, anchors, active_only, clock, gather_facts)
     marts = read_marts(spark, warehouse)
-    snapshot_dimensions(spark, f"{warehouse}/snapshots", marts, run_at)
-    return check_all(spark, warehouse)
+    report = check_all(spark, {**staging_views(spark, warehouse, anchors), **marts})
+    # One row per declared check: the report is taken once and kept.
+    found = spark.createDataFrame(report.collect(), report.schema)
+    faulty = {r.model for r in failed(found).select("model").distinct().collect()}
+    sound = {name: marts[name] for name in SNAPSHOTS if name not in faulty}
+    snapshot_dimensions(spark, f"{warehouse}/snapshots", sound, run_at)
+    taken = {
+        spec.name: read_snapshot(spark, f"{warehouse}/snapshots", spec)
+        for name, spec in SNAPSHOTS.items()
+        if name in sound
+    }
+    return found.unionByName(check_all(spark, taken)) if taken else found
 
 
 def land_all(
@@ -86,17 +116,22 @@ def land_all(
     day: str,
     shapes: Mapping[str, str],
     extra_endpoints: Sequence[str] = (),
+    multi_line: bool = True,
+    multi_line_text: bool = False,
 ) -> None:
-    """Land the API entities that staging reads, the extra ones, and every member of the feed."""
-    endpoints = [f"/{entity}" for entity, sources in ENTITIES.items() if "endpoint" in sources]
+    """Land the API entities that staging reads, all others that are there, and every feed member."""
+    needed = [f"/{entity}" for entity, sources in ENTITIES.items() if "endpoint" in sources]
+    endpoints = {entity_name(e): e for e in (*needed, *extra_endpoints)}
+    for entity in landed_endpoints(spark, landing):
+        endpoints.setdefault(entity, f"/{entity.replace('facilities_', 'facilities/', 1)}")
     payloads = [
         partial(
-            land_endpoint, spark, landing, raw, e, day, shapes.get(entity_name(e), "records")
+            land_endpoint, spark, landing, raw, e, day, shapes.get(entity, "records"), multi_line
         )
-        for e in (*endpoints, *extra_endpoints)
+        for entity, e in endpoints.items()
     ]
     members = [
-        partial(land_gtfs, spark, landing, raw, member, day)
+        partial(land_gtfs, spark, landing, raw, member, day, multi_line_text)
         for member in gtfs_members(spark, landing)
     ]
     in_parallel([*payloads, *members])
@@ -109,16 +144,29 @@ def staging_views(
     anchors = anchors or {}
     views = {}
     for name, (table, view) in VIEWS.items():
-        anchor = _staged(spark, warehouse, anchors[name]) if name in anchors else None
-        views[name] = view(_staged(spark, warehouse, table), anchor)
+        day = newest_day(spark, _staged_path(warehouse, anchors.get(name, table)))
+        views[name] = view(_staged(spark, warehouse, table), day=day)
         if name in CONTRACTS:
             views[name] = enforce_contract(views[name], contract(name), name)
     return views
 
 
-def build_marts(spark: SparkSession, warehouse: str, run_at: Column) -> None:
-    """Write the dimensions, then the facts; the stop-event fact reads the stop dimension back."""
-    v = staging_views(spark, warehouse)
+def build_marts(
+    spark: SparkSession,
+    warehouse: str,
+    run_at: Column,
+    anchors: Mapping[str, str] | None = None,
+    active_only: bool = False,
+    clock: str = "wrapped",
+    gather_facts: bool = False,
+) -> None:
+    """Write the dimensions, then the facts; the stop-event fact reads the stop dimension back.
+
+    gather_facts: by default each task writes a file for every day it has rows of, so a fact
+    has tasks x days files at most. Where that is more than the file system bears, gather the
+    rows of a day first: few files a day, for a shuffle of the multiplied rows.
+    """
+    v = staging_views(spark, warehouse, anchors)
     trips, stop_times, calendar = (
         v["stg_trips"], v["stg_stop_times"], v["stg_calendar_service"]
     )
@@ -129,14 +177,17 @@ def build_marts(spark: SparkSession, warehouse: str, run_at: Column) -> None:
     )
 
     def write(name: str, df: DataFrame) -> None:
-        replace_table(df, f"{warehouse}/marts/{name}", FACT_PARTITIONS.get(name), gather=False)
+        path = f"{warehouse}/marts/{name}"
+        replace_table(df, path, FACT_PARTITIONS.get(name), gather=gather_facts)
 
     independent = {
         "dim_calendar_service": calendar_service,
         "dim_line": dim_line(v["stg_routes"], run_at),
         "dim_stop": dim_stop(v["stg_stops"], run_at),
         "dim_trip": dim_trip(trips, run_at),
-        "fact_trip_schedule": fact_trip_schedule(trips, stop_times, calendar, run_at=run_at),
+        "fact_trip_schedule": fact_trip_schedule(
+            trips, stop_times, calendar, clock, active_only, run_at
+        ),
     }
     in_parallel(partial(write, name, df) for name, df in independent.items())
     stops = spark.read.parquet(f"{warehouse}/marts/dim_stop")
@@ -149,7 +200,8 @@ def build_marts(spark: SparkSession, warehouse: str, run_at: Column) -> None:
             calendar,
             stops,
             v["stg_municipalities"],
-            run_at=run_at,
+            active_only,
+            run_at,
         ),
     )
 
@@ -176,18 +228,17 @@ def open_catalog(spark: SparkSession, warehouse: str) -> list[str]:
     return sorted(tables)
 
 
-def check_all(spark: SparkSession, warehouse: str) -> DataFrame:
-    """One row per declared check with the number of failures."""
-    models = {
-        **staging_views(spark, warehouse),
-        **read_marts(spark, warehouse),
-        **read_snapshots(spark, warehouse),
-    }
+def check_all(spark: SparkSession, models: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per declared check of the given models with the number of failures."""
     return reduce(DataFrame.unionByName, (check_model(m, df) for m, df in models.items()))
 
 
+def _staged_path(warehouse: str, table: str) -> str:
+    return staging_path(f"{warehouse}/staging", table)
+
+
 def _staged(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    return spark.read.parquet(staging_path(f"{warehouse}/staging", table))
+    return spark.read.parquet(_staged_path(warehouse, table))
 
 
 def failed(report: DataFrame) -> DataFrame:

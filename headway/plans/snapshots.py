@@ -27,6 +27,7 @@ from headway.operators.history import (
     apply_changes,
     first_snapshot,
 )
+from headway.operators.quality import repeated_values
 from headway.sources.tables import in_parallel
 
 STATE = "state"
@@ -36,15 +37,24 @@ VERSION = "version"
 def take_snapshot(
     spark: SparkSession, root: str, spec: SnapshotSpec, current: DataFrame, run_at: dt.datetime
 ) -> None:
-    """Bring the kept history of one dimension up to date with `current`."""
+    """Bring the kept history of one dimension up to date with `current`.
+
+    A run that is already committed is done: taking it again changes nothing. An older one is
+    refused, and so is a dimension that repeats a key, before anything is written: each of
+    the rows would open versions of its own, more with every run.
+    """
     path = f"{root}/{spec.name}"
     last = _last_commit(spark, path)
     started = f"v{run_at:%Y%m%d%H%M%S%f}"
-    if last is not None and started <= last.split("-")[0]:
-        raise ValueError(f"{spec.name} already has a snapshot taken at or after {run_at}")
+    if last is not None and started == last.split("-")[0]:
+        return
+    if last is not None and started < last.split("-")[0]:
+        raise ValueError(f"{spec.name} already has a snapshot taken after {run_at}")
 
     stamp = F.lit(run_at).cast("timestamp")
     rows = current.select(spec.columns)
+    if not repeated_values(rows, spec.key).isEmpty():
+        raise ValueError(f"{spec.name}: {spec.key} repeats in the rows to snapshot")
     if last is None:
         after = first_snapshot(rows, spec.key, stamp)
     else:
@@ -90,10 +100,11 @@ def read_snapshot(spark: SparkSession, root: str, spec: SnapshotSpec) -> DataFra
 def snapshot_dimensions(
     spark: SparkSession, root: str, dimensions: dict[str, DataFrame], run_at: dt.datetime
 ) -> None:
-    """Snapshot every tracked dimension."""
+    """Snapshot every tracked dimension that is given."""
     in_parallel(
         partial(take_snapshot, spark, root, spec, dimensions[name], run_at)
         for name, spec in SNAPSHOTS.items()
+        if name in dimensions
     )
 
 

@@ -7,6 +7,7 @@ newest day counts; each view anchors on its own table unless told otherwise.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -55,43 +56,47 @@ TRIP_COLUMNS = """
 DATE_COLUMNS = "date day_type holiday notes period _source_file partition_date ingested_at".split()
 
 
-def stg_calendar_service(calendar_dates: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    latest = latest_partition(calendar_dates, anchor)
+#: The newest day, where it is known; see `latest_partition`.
+Day = dt.date | None
+
+
+def stg_calendar_service(calendar_dates: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    latest = latest_partition(calendar_dates, anchor, day)
     return latest.select(parse_gtfs_date(F.col("date")).alias("service_date"), "*")
 
 
-def stg_dates(dates: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    latest = normalise_sentinels(latest_partition(dates, anchor), ["notes"], NAN_SENTINEL)
+def stg_dates(dates: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    latest = normalise_sentinels(latest_partition(dates, anchor, day), ["notes"], NAN_SENTINEL)
     return latest.select(parse_gtfs_date(F.col("date")).alias("day_date"), *DATE_COLUMNS)
 
 
-def stg_municipalities(municipalities: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    return latest_partition(municipalities, anchor)
+def stg_municipalities(municipalities: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    return latest_partition(municipalities, anchor, day)
 
 
-def stg_periods(periods: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    return latest_partition(periods, anchor)
+def stg_periods(periods: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    return latest_partition(periods, anchor, day)
 
 
-def stg_routes(routes_converted: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    return latest_partition(routes_converted, anchor).select(ROUTE_COLUMNS)
+def stg_routes(routes_converted: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    return latest_partition(routes_converted, anchor, day).select(ROUTE_COLUMNS)
 
 
-def stg_shapes(shapes: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    return latest_partition(shapes, anchor)
+def stg_shapes(shapes: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    return latest_partition(shapes, anchor, day)
 
 
-def stg_stop_times(stop_times: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    return latest_partition(stop_times, anchor)
+def stg_stop_times(stop_times: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    return latest_partition(stop_times, anchor, day)
 
 
-def stg_stops(stops_converted: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    latest = latest_partition(stops_converted, anchor).select(STOP_COLUMNS)
+def stg_stops(stops_converted: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    latest = latest_partition(stops_converted, anchor, day).select(STOP_COLUMNS)
     return normalise_sentinels(latest, STOP_SENTINEL_COLUMNS, STOP_SENTINELS)
 
 
-def stg_trips(trips: DataFrame, anchor: DataFrame | None = None) -> DataFrame:
-    latest = latest_partition(trips, anchor).select(TRIP_COLUMNS)
+def stg_trips(trips: DataFrame, anchor: DataFrame | None = None, day: Day = None) -> DataFrame:
+    latest = latest_partition(trips, anchor, day).select(TRIP_COLUMNS)
     return normalise_sentinels(latest, ["calendar_desc"], NAN_SENTINEL)
 
 

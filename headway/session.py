@@ -41,6 +41,9 @@ def build_session(
         # Sizes of parquet scans are those of compressed files; judge broadcasts by what
         # the rows take up in memory.
         .config("spark.sql.sources.fileCompressionFactor", "4.0")
+        # A task keeps a writer open for each of so many days: more than a feed plans ahead, so
+        # that rows which the calendar has just multiplied are not sorted before they are written.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "400")
     )
     if shuffle_bytes:
         partitions = max(200, shuffle_bytes // SHUFFLE_PARTITION_BYTES)

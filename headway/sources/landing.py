@@ -15,7 +15,7 @@ from headway.schemas import (
     PARTITION_COLUMN,
     feed_schema,
 )
-from headway.sources.tables import entity_name, raw_path, replace_one_partition
+from headway.sources.tables import entity_name, raw_path, replace_day
 
 
 def read_json_payload(
@@ -34,15 +34,22 @@ def read_json_payload(
     value as its JSON text. Without it Spark reads the files twice to infer one.
     multi_line: True where a file is one document. With False a file holds one
     document per line, and Spark splits large files over many tasks.
+    A document that cannot be read whole, and one without `data` where that is its
+    shape, stops the read: no row is lost or made up.
     """
     def scan(declared: StructType | None) -> DataFrame:
-        return spark.read.json(path, schema=declared, multiLine=multi_line)
+        return spark.read.json(path, schema=declared, multiLine=multi_line, mode="FAILFAST")
 
     if shape == "records":
         rows = scan(schema)
     elif shape == "data":
         wrapper = schema and StructType().add("data", ArrayType(schema))
-        rows = scan(wrapper).select(F.explode("data").alias("row")).select("row.*")
+        documents = scan(wrapper)
+        if "data" not in documents.columns:
+            raise ValueError(f"no document under {path} has `data`")
+        absent = F.raise_error(F.lit(f"a document under {path} has no `data`"))
+        listed = F.when(F.col("data").isNull(), absent).otherwise(F.col("data"))
+        rows = documents.select(F.explode(listed).alias("row")).select("row.*")
     elif shape == "object":
         rows = flatten_structs(scan(schema))
     else:
@@ -51,16 +58,30 @@ def read_json_payload(
 
 
 def read_gtfs_text(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Rows of a GTFS member (CSV with a header) with the file name as lineage.
 
+    Quotes within quoted text are doubled, as the CSV standard has it. multi_line: quoted
+    text may hold line breaks; Spark then reads a file in one task. A row with more or
+    fewer fields than the header, such as a cut one, stops the read.
+
     Columns are matched by header name, whatever their order; one that the file
     lacks is NULL and one the schema lacks is left out. Without a schema every
     column is text. Files under one path must share their header: a different one
     stops the read instead of shifting columns.
     """
-    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    text = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
+        # A row is judged by all its fields, whichever of them are read.
+        .option("columnPruning", False)
+        .csv(path)
+    )
     fields = text.schema if schema is None else schema
     typed = [_typed(f, f.name in text.columns).alias(f.name) for f in fields]
     return text.select(*typed, F.col("_metadata.file_name").alias(FILE_LINEAGE))
@@ -69,10 +90,18 @@ def read_gtfs_text(
 def land(df: DataFrame, root: str, source: str, entity: str, day: str) -> str:
     """Write one extraction day (`yyyyMMdd`) of an entity to the raw layer; a re-run replaces it."""
     path = raw_path(root, source, entity)
-    replace_one_partition(df.withColumn(PARTITION_COLUMN, F.lit(day)), path)
+    replace_day(df, path, day)
     return path
 
 
+def landed_endpoints(spark: SparkSession, landing: str) -> list[str]:
+    """Names of the landed API entities: every file or folder of the landing but the feed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    statuses = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = (status.getPath().getName() for status in statuses)
+    return sorted(n for n in names if n != "gtfs" and not n.startswith(("_", ".")))
+
+
 def land_endpoint(
     spark: SparkSession,
     landing: str,
@@ -103,9 +132,17 @@ def gtfs_members(spark: SparkSession, landing: str) -> list[str]:
     return sorted(r.member for r in paths.distinct().collect() if r.member)
 
 
-def land_gtfs(spark: SparkSession, landing: str, root: str, member: str, day: str) -> str:
+def land_gtfs(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    member: str,
+    day: str,
+    multi_line: bool = False,
+) -> str:
     """Landed text of one GTFS member to its raw table."""
-    rows = read_gtfs_text(spark, f"{landing}/gtfs/{member}.txt", _declared(member, "gtfs"))
+    path = f"{landing}/gtfs/{member}.txt"
+    rows = read_gtfs_text(spark, path, _declared(member, "gtfs"), multi_line)
     return land(rows, root, "gtfs", member, day)
 
 
@@ -124,6 +161,8 @@ def _typed(field: StructField, present: bool) -> Column:
     if isinstance(field.dataType, StringType):
         return text
     if isinstance(field.dataType, LongType):
-        # An integer column with gaps is often printed as 5.0.
-        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+        # An integer column with gaps is often printed as 5.0; 5.7 is no integer.
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+        return F.coalesce(text.try_cast("bigint"), whole)
     return text.try_cast(field.dataType)

@@ -17,7 +17,7 @@ from headway.sources.tables import (
     in_parallel,
     raw_path,
     read_with_schema,
-    replace_one_partition,
+    replace_day,
     replace_table,
 )
 
@@ -107,7 +107,8 @@ def stage_table(
     if day is None:
         replace_table(stage(raw, run_at), path, PARTITION_COLUMN)
     else:
-        replace_one_partition(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path)
+        date = dt.datetime.strptime(day, "%Y%m%d").date()
+        replace_day(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path, date.isoformat())
     return path
 
 
@@ -167,5 +168,5 @@ def _write(df: DataFrame, path: str, day: dt.date | None) -> str:
     if day is None:
         replace_table(df, path, PARTITION_COLUMN)
     else:
-        replace_one_partition(df, path)
+        replace_day(df, path, day.isoformat())
     return path

@@ -42,6 +42,29 @@ def read_with_schema(spark: SparkSession, path: str, schema: StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+def partition_values(spark: SparkSession, path: str, partition: str = PARTITION_COLUMN) -> list[str]:
+    """The values of a table's outermost partition column, ascending, from the names of its folders.
+
+    One listing of the table's own folder; no file is listed or opened.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [
+        status.getPath().getName()
+        for status in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    ]
+    prefix = f"{partition}="
+    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+
+def replace_day(df: DataFrame, path: str, day: str, partition: str = PARTITION_COLUMN) -> None:
+    """Make the rows of `df` one partition of the table, in place of what it held.
+
+    All rows belong to `day`. Without rows the partition becomes empty, which an overwrite
+    of only those partitions that have rows would not do. Other days stay.
+    """
+    df.drop(partition).write.mode("overwrite").parquet(f"{path}/{partition}={day}")
+
+
 def replace_partitions(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
     """Overwrite only the partitions that `df` holds; the other days of the table stay."""
     replace_one_partition(_by_partition(df, partition), path, partition)

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import random
 
@@ -127,12 +128,48 @@ def test_kept_history(spark, tmp_path):
     assert kept.columns == history_of(spark, 2).columns
 
 
-def test_a_run_is_not_taken_twice_or_backwards(spark, tmp_path):
+def test_a_run_taken_again_changes_nothing_and_none_goes_back(spark, tmp_path):
     root = str(tmp_path)
     take_snapshot(spark, root, SPEC, state(spark, 0), T[1])
-    for moment in (T[1], T[0]):
-        with pytest.raises(ValueError):
-            take_snapshot(spark, root, SPEC, state(spark, 1), moment)
+    before = summary(read_snapshot(spark, root, SPEC))
+    take_snapshot(spark, root, SPEC, state(spark, 1), T[1])
+    assert summary(read_snapshot(spark, root, SPEC)) == before
+    with pytest.raises(ValueError):
+        take_snapshot(spark, root, SPEC, state(spark, 1), T[0])
+
+
+def test_a_repeated_key_is_refused_before_anything_is_written(spark, tmp_path):
+    root = str(tmp_path)
+    twice = state(spark, 0).unionByName(state(spark, 0))
+    with pytest.raises(ValueError, match="repeats"):
+        take_snapshot(spark, root, SPEC, twice, T[0])
+    assert not list(tmp_path.iterdir())
+    take_snapshot(spark, root, SPEC, state(spark, 0), T[0])
+    files = sorted(tmp_path.rglob("*.parquet"))
+    with pytest.raises(ValueError, match="repeats"):
+        take_snapshot(spark, root, SPEC, twice, T[1])
+    assert sorted(tmp_path.rglob("*.parquet")) == files
+
+
+def test_equal_rows_add_no_versions(spark, tmp_path):
+    root = str(tmp_path)
+    for moment in T[:3]:
+        take_snapshot(spark, root, SPEC, state(spark, 0), moment)
+    assert read_snapshot(spark, root, SPEC).count() == state(spark, 0).count()
+
+
+def test_snapshots_can_be_repeated_after_one_of_them_failed(spark, tmp_path, monkeypatch):
+    from headway.plans import snapshots
+
+    specs = {n: dataclasses.replace(SPEC, name=f"snapshot_{n}") for n in ("a", "b", "c")}
+    monkeypatch.setattr(snapshots, "SNAPSHOTS", specs)
+    root, good = str(tmp_path), state(spark, 0)
+    bad = good.unionByName(good)
+    with pytest.raises(ValueError):
+        snapshots.snapshot_dimensions(spark, root, {"a": good, "b": bad, "c": good}, T[0])
+    snapshots.snapshot_dimensions(spark, root, {"a": good, "b": good, "c": good}, T[0])
+    for spec in specs.values():
+        assert read_snapshot(spark, root, spec).count() == good.count()
 
 
 def test_a_run_without_commit_is_invisible(spark, tmp_path):

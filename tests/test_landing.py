@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -5,8 +6,9 @@ from pyspark.sql import functions as F
 
 from headway.schemas import columns, feed_schema, raw_schema
 from headway.session import scratch_dir
-from headway.sources.landing import land, read_gtfs_text, read_json_payload
-from headway.sources.staging import ENTITIES, ARRAY_COLUMNS, staged_tables
+from headway.operators.latest import latest_partition, newest_day
+from headway.sources.landing import land, landed_endpoints, read_gtfs_text, read_json_payload
+from headway.sources.staging import ENTITIES, ARRAY_COLUMNS, stage_table, staged_tables
 from headway.sources.tables import (
     entity_name,
     raw_path,
@@ -102,6 +104,76 @@ def test_declared_schema_wins_on_read(spark, tmp_path):
     assert (row.trip_id, row.partition_date, row.direction_id) == ("1", "20240101", None)
 
 
+def test_a_broken_document_stops_the_read(spark, tmp_path):
+    for i, (shape, text) in enumerate(
+        [("records", '[{"id": "1"}, {"id": "2"'), ("data", '{"data": [{"id": "1"}'), ("data", '{"n": 1}')]
+    ):
+        path = tmp_path / f"{i}.json"
+        path.write_text(text)
+        with pytest.raises(Exception, match="data|FAILFAST|MALFORMED|Malformed"):
+            read_json_payload(spark, str(path), "/x", columns("id string"), shape).collect()
+
+
+def test_standard_quoting(spark, tmp_path):
+    path = tmp_path / "stops.txt"
+    path.write_text('stop_id,stop_name,stop_url\n1,"Rua ""A"", Lisboa",u1\n2,"two\nlines",u2\n3,plain,u3\n')
+    schema = columns("stop_id bigint, stop_name string, stop_url string")
+    rows = read_gtfs_text(spark, str(path), schema, multi_line=True).collect()
+    assert [tuple(r)[:3] for r in rows] == [
+        (1, 'Rua "A", Lisboa', "u1"), (2, "two\nlines", "u2"), (3, "plain", "u3"),
+    ]
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "1"])
+def test_a_ragged_row_stops_the_read(spark, tmp_path, row):
+    path = tmp_path / "trips.txt"
+    path.write_text(f"trip_id,route_id\na,b\n{row}\n")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED|Malformed"):
+        read_gtfs_text(spark, str(path), columns("trip_id string")).collect()
+
+
+def test_only_whole_numbers_are_integers(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text("a\n5.0\n5.7\n5\nx\n1e3\n")
+    got = [r.a for r in read_gtfs_text(spark, str(path), columns("a bigint")).collect()]
+    assert got == [5, None, 5, None, 1000]
+
+
+def test_a_day_landed_and_staged_again_without_rows_is_empty(spark, tmp_path):
+    raw, incremental, fresh = str(tmp_path / "raw"), str(tmp_path / "a"), str(tmp_path / "b")
+    table = next(t for t in staged_tables() if t.schema == "trips")
+    df = spark.createDataFrame([("1",), ("2",)], "trip_id string")
+    stamp = F.lit("2024-01-03").cast("timestamp")
+    for rows in (df, df.limit(1), df.limit(0)):
+        for day in ("20240101", "20240102"):
+            land(rows if day == "20240102" else df, raw, "gtfs", "trips", day)
+            stage_table(spark, raw, incremental, table, stamp, day)
+        a = spark.read.parquet(stage_table(spark, raw, fresh, table, stamp))
+        b = spark.read.parquet(f"{incremental}/staging_trips")
+        assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect()))
+    assert newest_day(spark, f"{incremental}/staging_trips") == dt.date(2024, 1, 1)
+
+
+def test_the_latest_day_reads_no_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(1000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 5 as int)) partition_date")
+    replace_partitions(days, path)
+    view = latest_partition(spark.read.parquet(path), day=newest_day(spark, path))
+    assert view.count() == 200
+    view.collect()
+    plan = view._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() == 200
+    assert scan.metrics().apply("numPartitions").value() == 1
+
+
+def test_landed_endpoints_are_found(spark, tmp_path):
+    for name in ("lines", "facilities_schools", "municipalities", "_SUCCESS"):
+        (tmp_path / name).write_text("[]")
+    (tmp_path / "gtfs").mkdir()
+    assert landed_endpoints(spark, str(tmp_path)) == ["facilities_schools", "lines", "municipalities"]
+
+
 def test_names_and_paths():
     assert entity_name("/facilities/schools") == "facilities_schools"
     assert raw_path("r", "endpoint", "stops") == "r/stops"
@@ -123,5 +195,22 @@ def test_scratch_is_below_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
-    if named:
-        assert first.startswith(named.rstrip("/") + "/")
+    assert first.startswith(named.rstrip("/") + "/")
+
+
+class Session:
+    """As much of a session as the choice of a scratch folder looks at."""
+
+    def __init__(self, master, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_without_a_named_folder_is_below_a_shared_warehouse():
+    def scratch(master, warehouse):
+        return scratch_dir(Session(master, **{"spark.sql.warehouse.dir": warehouse}), "x")
+
+    assert scratch("yarn", "hdfs://c/w").startswith("hdfs://c/w/x-")
+    assert scratch("local[2]", "file:/w").startswith("file:/w/x-")
+    with pytest.raises(RuntimeError):
+        scratch("yarn", "file:/w")
