@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -34,7 +35,7 @@ from pyspark.sql.functions import arrow_udf
 from headway.llm.shared import list_array, segments
 
 #: Entries a worker keeps of words it has met; beyond that it starts again. A cache only.
-CACHED = 400_000
+CACHED = 300_000
 #: Marks a symbol that has been merged into the one before it; no id is as large.
 GONE = 0x7FFFFFFF
 #: Blank for Python's str.split() but not for the pattern's \s.
@@ -85,6 +86,10 @@ class Codec:
         by_length = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("|".join(map(regex.escape, by_length))) if by_length else None
         self.strings = dict(map(reversed, vocab.items())) | {i: s for s, i in self.special.items()}
+        self.forget()
+
+    def forget(self) -> None:
+        """Starts anew what is remembered of the words met so far."""
         self.pieces = Kept(self.merge)
         self.chunks = Kept(self.chunk)
 
@@ -169,11 +174,15 @@ def encoded(text: Column, path: str) -> Column:
     """Token ids of a text: array<int>."""
 
     @arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # A worker lives on after the task; what it remembers of this one's words should not.
         one = codec(path)
-        data = [one.encode(t) if t else b"" for t in texts.to_pylist()]
-        lengths = np.array([len(d) // 4 for d in data], np.int64)
-        return list_array(np.frombuffer(b"".join(data), np.int32), segments(lengths))
+        one.forget()
+        for texts in batches:
+            data = [one.encode(t) if t else b"" for t in texts.to_pylist()]
+            lengths = np.array([len(d) // 4 for d in data], np.int64)
+            yield list_array(np.frombuffer(b"".join(data), np.int32), segments(lengths))
+        one.forget()
 
     return encode(text)
 
@@ -182,11 +191,13 @@ def decoded(ids: Column, path: str) -> Column:
     """Text of token ids."""
 
     @arrow_udf("string")
-    def decode(lists: pa.Array) -> pa.Array:
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = codec(path)
-        ends = segments(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        return pa.array([one.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+        for lists in batches:
+            ends = segments(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            texts = [one.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.array(texts, pa.string())
 
     return decode(ids)
 

@@ -36,7 +36,7 @@ LONGEST = 4
 EVIDENCE = 20
 SMOOTHING = 0.5
 #: Entries of a task's counter before it passes them on.
-HELD = 400_000
+HELD = 250_000
 #: ASCII other than letters separates words.
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
