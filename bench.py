@@ -42,6 +42,12 @@ HEADLINE = (
     "top10_lines_for_stop",
     "trips_by_date",
     "which_lines_for_each_stop",
+    # The write path: what a cluster does all day.
+    "stage_all",
+    "merge_staged",
+    "fact_partitioned_sink",
+    "latest_partition_on_disk",
+    "dq_all",
 )
 
 

@@ -5,15 +5,17 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from headway.catalogue.inputs import Inputs
 from headway.catalogue.oracles import SQL
 from headway.catalogue.queries import QUERIES
-from headway.plans.facts import trips_with_routes
-from headway.sources.tables import replace_partitions
+from headway.plans.facts import fact_trip_schedule, trips_with_routes
+from headway.sources.tables import replace_partitions, replace_table
 
 FORBIDDEN = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Exchange SinglePartition")
 WRITES = {
     "read_json_payload", "read_gtfs_text", "dynamic_overwrite", "schema_on_read", "stage_table",
-    "stage_all", "fact_partitioned_sink",
+    "stage_all", "fact_partitioned_sink", "read_gtfs_text_quoted", "stage_table_day", "merge_staged",
+    "convert_staged", "latest_partition_on_disk",
 }
 
 
@@ -21,6 +23,24 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def last_run(spark):
+    """The physical plan of the last command that ran, as it ran."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return spark._jsparkSession.sharedState().statusStore().executionsList().last().physicalPlanDescription()
+
+
+def test_multiplied_rows_are_not_sorted_before_they_are_written(spark, sf_dir, tmp_path):
+    inputs = Inputs(spark, sf_dir)
+    stamp = F.current_timestamp()
+    fact = fact_trip_schedule(inputs("trips"), inputs("stop_times"), inputs("calendar"), run_at=stamp)
+    replace_table(fact, str(tmp_path / "fact"), "trip_date", gather=False)
+    final = last_run(spark).split("+- == Initial Plan ==")[0]
+    assert "InsertIntoHadoopFsRelationCommand" in final
+    # Outermost first: the command, what it writes, and below it the last join.
+    above = final[: final.index("Join")]
+    assert "Sort" not in above
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
