@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headway.catalogue.inputs import Inputs
 from headway.catalogue.oracles import SQL
 from headway.catalogue.queries import QUERIES
-from headway.plans.facts import fact_trip_schedule, trips_with_routes
+from headway.plans.facts import fact_trip_schedule, trips_with_dates, trips_with_routes
 from headway.sources.tables import replace_partitions, replace_table
 
 FORBIDDEN = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Exchange SinglePartition")
@@ -90,6 +90,20 @@ def test_hot_join_keys_are_split(spark):
         rows = joined.collect()
         assert len(rows) == 60000
         assert "skew=true" in plan_of(joined)
+
+        # A service that runs a third of the trips, beside a calendar too large to broadcast.
+        served = trips.withColumn("service_id", F.col("route_id"))
+        days = spark.range(5).select(
+            F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("service_date"),
+            F.lit(20240101).alias("date"),
+            *(F.lit(1).alias(c) for c in ("day_type", "exception_type", "holiday")),
+        )
+        services = ids.unionByName(hot).withColumnRenamed("route_id", "service_id")
+        calendar = services.crossJoin(days)
+        on_days = trips_with_dates(served, calendar)
+        assert on_days.count() == 5 * 60000
+        on_days.collect()
+        assert "skew=true" in plan_of(on_days)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
