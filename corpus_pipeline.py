@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from headway.llm import bpe, forest, language, mixing, pii
 from headway.llm.queries import VOCABULARY
-from headway.llm.shared import settle, table
+from headway.llm.shared import settle, small_batches, table
 
 #: A document stays if its language has more than this share of the evidence.
 LEAST_CERTAINTY = 0.5
@@ -31,6 +31,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     lang, score = ("_".join([name, *docs.columns]) for name in ("predicted", "score"))
     guessed = language.identify(docs, language.train(docs), lang_pred=lang, score=score)
     kept = guessed.where((F.col(lang) != "und") & (F.col(score) > LEAST_CERTAINTY))
@@ -38,6 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     classes = forest.near_duplicates(docs)
     first = classes.where("doc_id = class_id").select("doc_id").distinct()
     place = "_".join(["place", *docs.columns])
@@ -48,6 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     spans = "_".join(["spans", *docs.columns])
     found = pii.find(docs, pii.train(docs), spans_col=spans)
     masked = found.withColumn("text", pii.masked(F.col("text"), F.col(spans)))
@@ -59,6 +62,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     tokens = bpe.encode(docs.select("doc_id", "source", "lang", "text"), VOCABULARY)
     return tokens.select("doc_id", "source", "lang", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 

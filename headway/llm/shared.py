@@ -13,7 +13,20 @@ from pyspark.sql import functions as F
 from headway.session import scratch_dir
 
 
+#: Rows of a batch that goes to a Python worker. Texts are long: at Spark's 10,000 a batch comes to tens of
+#: megabytes, several times over in the worker. The size of batches changes no result.
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Has the session send texts to Python workers in small batches, unless it has smaller ones."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
