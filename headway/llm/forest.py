@@ -59,7 +59,7 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     rolled = np.zeros(max(len(words) - width + 1, 0), np.uint64)
     for k in range(width):
         factor = np.uint64(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64))
-        rolled += words[k : len(words) - width + 1 + k] * factor
+        rolled += words[k : k + len(rolled)] * factor
     rolled = mix(rolled)
     out = []
     for first, n in zip(firsts[:-1].tolist(), counts.tolist(), strict=True):
