@@ -4,10 +4,10 @@ A word of the vocabulary scores by its log frequency in each language. At each p
 word the longest known n-gram that ends there scores by its log frequency among those of its length;
 the mean over the places is the word's score. A text's score is the sum over its words and the prior.
 
-The vocabulary is a model of bounded size, documented here: the words that come most often, at most
-about `max_words` over all languages, and the n-grams, at most about `max_ngrams` of each length. All
-labelled texts are counted to find them; rarer words are what the n-grams are for. With L languages a
-worker holds (max_words + longest * max_ngrams) * (L + 2) numbers and the words.
+Workers hold the words that come most often, at most about `max_words` over all languages, as a cache
+that changes no result: with L languages max_words * (L + 2) numbers and the words. Any other word of a
+text is looked up, once for all texts, in the table of all counted words by a join; a word of no labelled
+text takes its n-grams from the table of all counted n-grams. Only texts with such words take part.
 
 Defined results
 - Words are lower-cased runs of a-z and characters outside ASCII.
@@ -75,6 +75,11 @@ class Model:
         self.languages, self.priors = languages, priors
         self.words, self.word_logs = words, word_logs
         self.grams, self.gram_logs = grams, gram_logs
+        #: Log frequencies of all words (word, logs) and of all n-grams (size, gram, logs); not sent to workers.
+        self.tables: tuple[DataFrame, DataFrame] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": None}
 
     def unseen(self, words: list[str]) -> np.ndarray:
         """Scores of words that the vocabulary lacks."""
@@ -93,33 +98,33 @@ class Model:
         first = np.flatnonzero(np.diff(word, prepend=-1))
         return np.add.reduceat(places, first) / np.diff(first, append=len(word))[:, None]
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        """Of each text the summed scores of its words, how many they are, and those not held here."""
         counts, words = [], []
         for t in texts:
             own = words_of(t) if t else []
             counts.append(len(own))
             words += own
         at = np.fromiter(map(self.words.get, words, (-1 for _ in words)), np.int64, len(words))
-        logs = self.word_logs[at] if len(self.word_logs) else np.zeros((len(at), len(self.languages)), np.float32)
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            order: dict[str, int] = {}
-            which = np.array([order.setdefault(words[i], len(order)) for i in missing.tolist()])
-            logs[missing] = self.unseen(list(order))[which]
+        logs = np.zeros((len(at), len(self.languages)), np.float64)
+        logs[at >= 0] = self.word_logs[at[at >= 0]]
         ends = segments(np.array(counts, np.int64))
-        sums = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0, dtype=np.float64)])
-        n = np.maximum(np.diff(ends), 1)[:, None]
-        mean = (sums[ends[1:]] - sums[ends[:-1]]) / n
-        evidence = mean * np.minimum(n, EVIDENCE) + self.priors
+        sums = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0)])
+        missing = np.flatnonzero(at < 0)
+        cut = np.searchsorted(missing, ends)
+        lacked = [[words[i] for i in missing[x:y].tolist()] for x, y in zip(cut[:-1], cut[1:])]
+        return sums[ends[1:]] - sums[ends[:-1]], np.array(counts, np.int64), lacked
+
+    def decide(self, sums: np.ndarray, counts: np.ndarray, lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Language and score of texts by their summed scores, and whether they have a letter."""
+        n = np.maximum(counts, 1)[:, None]
+        evidence = sums / n * np.minimum(n, EVIDENCE) + self.priors
         evidence -= evidence.max(axis=1, keepdims=True)
         share = np.exp(evidence)
         share /= share.sum(axis=1, keepdims=True)
         best = share.argmax(axis=1)
-        names = [
-            self.languages[b] if t and any(map(str.isalpha, t)) else "und"
-            for t, b in zip(texts, best.tolist(), strict=True)
-        ]
-        return names, np.where([x != "und" for x in names], share[np.arange(len(best)), best], 0.0)
+        names = [self.languages[b] if x else "und" for x, b in zip(lettered.tolist(), best.tolist(), strict=True)]
+        return names, np.where(lettered, share[np.arange(len(best)), best], 0.0)
 
 
 def count_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -245,38 +250,158 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longe
         order = np.argsort(keys)
         gram_keys.append(keys[order])
         gram_logs.append(table[order])
-    return Model(languages, priors, index, word_logs, gram_keys, gram_logs)
+    model = Model(languages, priors, index, word_logs, gram_keys, gram_logs)
+    gram_totals = {n: [sums.get((lang, n), (0, 1)) for lang in languages] for n in range(1, longest + 1)}
+    model.tables = (
+        with_logs(words, ["word"], languages, F.lit(0), {0: list(zip(weight.tolist(), types.tolist()))}),
+        with_logs(grams, ["size", "gram"], languages, F.col("size"), gram_totals),
+    )
+    return model
+
+
+def with_logs(counts: DataFrame, keys: list[str], languages: list[str], kind: Column, totals: dict[int, list[tuple]]) -> DataFrame:
+    """(keys, logs): log frequencies by language of counted keys, as the model holds them. totals: by kind
+    of key the sum and the number of keys of each language."""
+    own = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages)]
+
+    def log(i: int) -> Column:
+        whole = F.lit(None).cast("double")
+        for k, of in totals.items():
+            whole = F.when(kind == k, F.lit(float(of[i][0] + SMOOTHING * of[i][1]))).otherwise(whole)
+        return F.log((F.col(f"n{i}") + SMOOTHING) / whole).cast("float").cast("double")
+
+    return counts.groupBy(*keys).agg(*own).select(*keys, F.array(*[log(i) for i in range(len(languages))]).alias("logs"))
+
+
+def split_ngrams(words: DataFrame, longest: int) -> DataFrame:
+    """(word, place, size, gram) of the n-grams that end at each place of each word."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hashes, word = ngrams(batch.column("word").to_pylist(), longest)
+            place = np.arange(len(word)).astype(np.int64)
+            size, at = np.nonzero(hashes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word").take(pa.array(word[at])), pa.array(place[at]), pa.array((size + 1).astype(np.int32)), pa.array(hashes[size, at].view(np.int64))],
+                ["word", "place", "size", "gram"],
+            )
+
+    return words.mapInArrow(split, "word string, place long, size int, gram long")
+
 
+def summed_logs(logs: str, weight: Column, n: int) -> Column:
+    return F.array(*[F.sum(F.get(logs, F.lit(i)) * weight) for i in range(n)])
 
-def predicted(text: Column, model: Model | None) -> Column:
-    """struct<lang: string, score: double> of a text."""
+
+def missing_logs(words: DataFrame, model: Model) -> DataFrame:
+    """(word, logs) of distinct words that the cache lacks: of the full table, or by their n-grams."""
+    known, grams = model.tables
+    n, longest = len(model.languages), len(model.grams)
+    looked = settle(words.join(known, "word", "left"), "language-looked-up")
+    unseen = looked.where(F.col("logs").isNull()).select("word")
+    # Few distinct n-grams stand for many places: a hot one meets one row, and adaptive execution splits it.
+    places = split_ngrams(unseen, longest).join(grams, ["size", "gram"], "left")
+    place = places.groupBy("word", "place").agg(F.max_by("logs", F.when(F.col("logs").isNotNull(), F.col("size"))).alias("logs"))
+    none = F.array(*[F.lit(0.0)] * n)
+    mean = place.withColumn("logs", F.coalesce("logs", none)).groupBy("word").agg(
+        summed_logs("logs", F.lit(1.0), n).alias("sum"), F.count("*").alias("k")
+    )
+    backed = mean.select("word", F.transform("sum", lambda x: x / F.col("k")).alias("logs"))
+    return settle(looked.where(F.col("logs").isNotNull()).unionByName(backed), "language-missing")
+
+
+GUESS = "struct<lang: string, score: double>"
+
+
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with the predicted language and its score. The model's cache is sent to all workers."""
+    guess, key = ("_".join([name, *docs.columns]) for name in ("guess", "key"))
     if model is None:
-        return F.struct(F.lit("und").alias("lang"), F.lit(0.0).alias("score"))
+        return docs.withColumns({lang_pred: F.lit("und"), score: F.lit(0.0)})
     shared = SparkSession.active().sparkContext.broadcast(model)
 
-    @arrow_udf("struct<lang: string, score: double>")
-    def predict(texts: pa.Array) -> pa.Array:
-        one = shared.value
-        names: list[str] = []
-        scores: list[np.ndarray] = []
-        every = texts.to_pylist()
+    def cut(texts: list) -> Iterator[list]:
         start = size = 0
-        for end, t in enumerate(every, 1):
+        for end, t in enumerate(texts, 1):
             size += len(t or "")
-            if size > 1 << 21 or end == len(every):
-                got = one.predict(every[start:end])
-                names += got[0]
-                scores.append(got[1])
+            if size > 1 << 21 or end == len(texts):
+                yield texts[start:end]
                 start, size = end, 0
-        flat = np.concatenate(scores) if scores else np.zeros(0)
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(flat)], ["lang", "score"])
 
-    return predict(text)
+    def lettered(texts: list) -> np.ndarray:
+        return np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
 
-
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """docs with the predicted language and its score. The model is bounded by its parameters and sent
-    to all workers."""
-    guess = "_".join(["guess", *docs.columns])
-    guessed = docs.withColumn(guess, predicted(F.col(text_col), model))
-    return guessed.withColumns({lang_pred: F.col(f"`{guess}`.lang"), score: F.col(f"`{guess}`.score")}).drop(guess)
+    def guesses(names: list[str], scores: list[np.ndarray], none: np.ndarray | None = None) -> pa.Array:
+        flat = np.concatenate(scores) if scores else np.zeros(0)
+        mask = None if none is None else pa.array(none)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(flat)], ["lang", "score"], mask=mask)
+
+    @arrow_udf(GUESS)
+    def cached(texts: pa.Array) -> pa.Array:
+        """Of the texts whose words are all held; null for the others."""
+        names, scores, none = [], [], []
+        for some in cut(texts.to_pylist()):
+            sums, counts, lacked = shared.value.sums(some)
+            letters = lettered(some)
+            got = shared.value.decide(sums, counts, letters)
+            names += got[0]
+            scores.append(got[1])
+            none.append(np.array([bool(x) for x in lacked], bool) & letters)
+        return guesses(names, scores, np.concatenate(none) if none else np.zeros(0, bool))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, some in zip(starts_of(batch), cut(batch.column("text").to_pylist())):
+                sums, counts, lacked = shared.value.sums(some)
+                keep = np.flatnonzero(np.array([bool(x) for x in lacked], bool) & lettered(some))
+                met = [Counter(lacked[i]) for i in keep.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("key").take(pa.array(at + keep)),
+                        pa.array(list(sums[keep]), pa.list_(pa.float64())),
+                        pa.array(counts[keep]),
+                        pa.array([[{"word": w, "k": k} for w, k in m.items()] for m in met], met_type),
+                    ],
+                    ["key", "sums", "n", "met"],
+                )
+
+    def starts_of(batch: pa.RecordBatch) -> Iterator[int]:
+        at = 0
+        for some in cut(batch.column("text").to_pylist()):
+            yield at
+            at += len(some)
+
+    met_type = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
+    # A result belongs to the text. Other columns are in the key only to spread copies of one text.
+    flat = [F.col(f"`{c}`").cast("string") for c, t in docs.dtypes if c != text_col and not t.startswith(("map", "array", "struct"))]
+    of = F.concat(F.md5(F.col(text_col).cast("binary")), F.hex(F.pmod(F.xxhash64(*flat), F.lit(4096)))) if flat else F.md5(F.col(text_col).cast("binary"))
+    asked = docs.select(of.alias("key"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    asked = settle(
+        asked.mapInArrow(ask, "key string, sums array<double>, n long, met array<struct<word: string, k: bigint>>")
+        .dropDuplicates(["key"]),
+        "language-asked",
+    )
+    met = asked.select("key", F.explode("met").alias("m")).select("key", "m.word", "m.k")
+    logs = missing_logs(met.select("word").distinct(), model)
+    width = len(model.languages)
+    rest = met.join(logs, "word").groupBy("key").agg(summed_logs("logs", F.col("k"), width).alias("rest"))
+
+    @arrow_udf(GUESS)
+    def whole(sums: pa.Array, counts: pa.Array) -> pa.Array:
+        table = np.array(sums.to_pylist(), np.float64).reshape(len(sums), width)
+        names, scores = shared.value.decide(table, counts.to_numpy(), np.ones(len(table), bool))
+        return guesses(names, [scores])
+
+    added = F.transform(F.arrays_zip("sums", "rest"), lambda x: x["sums"] + x["rest"])
+    others = settle(
+        asked.join(rest, "key").select(F.col("key").alias(key), whole(added, F.col("n")).alias(f"o{guess}")), "language-guessed"
+    )
+    guessed = docs.withColumns({guess: cached(F.col(text_col)), key: of}).join(others, key, "left")
+    final = F.coalesce(f"`o{guess}`", f"`{guess}`")
+    return (
+        guessed.withColumn(guess, final)
+        .withColumns({lang_pred: F.col(f"`{guess}`.lang"), score: F.col(f"`{guess}`.score")})
+        .drop(guess, key, f"o{guess}")
+    )

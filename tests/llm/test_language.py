@@ -71,6 +71,28 @@ def test_edges(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_the_bounds_change_no_result(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").limit(60)
+    texts = [(i, t, "") for i, t in enumerate(["the hund qqq", "über dogged straßen", "die", None, "12", "the hund qqq"])]
+    asked = docs.unionByName(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    rows = docs.unionByName(spark.createDataFrame(ROWS, SCHEMA))
+
+    def results(**bounds):
+        got = language.identify(asked, language.train(rows, **bounds)).collect()
+        return sorted((r.doc_id, r.text or "", r.lang, r.lang_pred, round(r.score, 5)) for r in got)
+
+    assert results(max_words=8, max_ngrams=8) == results()
+    # Words of the full table by their own frequency, the others by all n-grams.
+    model = language.train(rows, max_words=8, max_ngrams=8)
+    whole = language.train(rows)
+    words = ["katze", "thedog", "hundx", "öqq"]
+    assert len(model.words) < len(whole.words) and "katze" not in model.words
+    logs = {r.word: r.logs for r in language.missing_logs(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
+    assert np.allclose(logs["katze"], whole.word_logs[whole.words["katze"]], atol=1e-5)
+    for w in words[1:]:
+        assert np.allclose(logs[w], whole.unseen([w])[0], atol=1e-4)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     got = QUERIES["op9_language_id"](spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
