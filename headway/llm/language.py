@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -273,22 +274,54 @@ def with_logs(counts: DataFrame, keys: list[str], languages: list[str], kind: Co
     return counts.groupBy(*keys).agg(*own).select(*keys, F.array(*[log(i) for i in range(len(languages))]).alias("logs"))
 
 
-def split_ngrams(words: DataFrame, longest: int) -> DataFrame:
-    """(word, place, size, gram) of the n-grams that end at each place of each word."""
+def split_ngrams(words: DataFrame, model: Model) -> DataFrame:
+    """(word, k, sum, rest) of each word: its places, the summed logs of those whose longest n-gram workers
+    hold, and of the other places (place, size, gram), from the longest down to the first that they hold."""
+    shared = words.sparkSession.sparkContext.broadcast(model)
+    kind = pa.list_(pa.struct([("place", pa.int64()), ("size", pa.int32()), ("gram", pa.int64())]))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
+            one = shared.value
+            longest = len(one.grams)
             hashes, word = ngrams(batch.column("word").to_pylist(), longest)
-            place = np.arange(len(word)).astype(np.int64)
-            size, at = np.nonzero(hashes)
+            reach = (hashes != 0).sum(axis=0)
+            held = np.zeros((longest, len(word)), bool)
+            logs = np.zeros((len(word), len(one.languages)))
+            for n in range(1, longest + 1):
+                known = one.grams[n - 1]
+                if not len(known):
+                    continue
+                at = np.minimum(np.searchsorted(known, hashes[n - 1]), len(known) - 1)
+                held[n - 1] = (known[at] == hashes[n - 1]) & (hashes[n - 1] != 0)
+                done = held[n - 1] & (reach == n)
+                logs[done] = one.gram_logs[n - 1][at[done]]
+            done = held[reach - 1, np.arange(len(word))]
+            # The longest held: nothing shorter is asked for.
+            most = np.where(held.any(axis=0), longest - held[::-1].argmax(axis=0), 0)
+            wanted = (hashes != 0) & ~done & (np.arange(1, longest + 1)[:, None] >= most)
+            place, size = np.nonzero(wanted.T)
+            rest = pa.StructArray.from_arrays(
+                [pa.array(place), pa.array((size + 1).astype(np.int32)), pa.array(hashes[size, place].view(np.int64))],
+                fields=list(kind.value_type),
+            )
+            ends = segments(np.bincount(word[place], minlength=batch.num_rows))
+            first = np.flatnonzero(np.diff(word, prepend=-1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word").take(pa.array(word[at])), pa.array(place[at]), pa.array((size + 1).astype(np.int32)), pa.array(hashes[size, at].view(np.int64))],
-                ["word", "place", "size", "gram"],
+                [
+                    batch.column("word"),
+                    pa.array(np.bincount(word, minlength=batch.num_rows)),
+                    pa.array(list(np.add.reduceat(logs, first)), pa.list_(pa.float64())),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), rest),
+                ],
+                ["word", "k", "sum", "rest"],
             )
 
-    return words.mapInArrow(split, "word string, place long, size int, gram long")
+    return words.mapInArrow(
+        split, "word string, k long, sum array<double>, rest array<struct<place: bigint, size: int, gram: bigint>>"
+    )
 
 
 def summed_logs(logs: str, weight: Column, n: int) -> Column:
@@ -298,17 +331,14 @@ def summed_logs(logs: str, weight: Column, n: int) -> Column:
 def missing_logs(words: DataFrame, model: Model) -> DataFrame:
     """(word, logs) of distinct words that the cache lacks: of the full table, or by their n-grams."""
     known, grams = model.tables
-    n, longest = len(model.languages), len(model.grams)
+    n = len(model.languages)
     looked = settle(words.join(known, "word", "left"), "language-looked-up")
-    unseen = looked.where(F.col("logs").isNull()).select("word")
-    # Few distinct n-grams stand for many places: a hot one meets one row, and adaptive execution splits it.
-    places = split_ngrams(unseen, longest).join(grams, ["size", "gram"], "left")
-    place = places.groupBy("word", "place").agg(F.max_by("logs", F.when(F.col("logs").isNotNull(), F.col("size"))).alias("logs"))
-    none = F.array(*[F.lit(0.0)] * n)
-    mean = place.withColumn("logs", F.coalesce("logs", none)).groupBy("word").agg(
-        summed_logs("logs", F.lit(1.0), n).alias("sum"), F.count("*").alias("k")
-    )
-    backed = mean.select("word", F.transform("sum", lambda x: x / F.col("k")).alias("logs"))
+    split = settle(split_ngrams(looked.where(F.col("logs").isNull()).select("word"), model), "language-unseen")
+    places = split.select("word", F.explode("rest").alias("r")).select("word", "r.*").join(grams, ["size", "gram"])
+    place = places.groupBy("word", "place").agg(F.max_by("logs", "size").alias("logs"))
+    more = place.groupBy("word").agg(summed_logs("logs", F.lit(1.0), n).alias("more"))
+    total = F.when(F.col("more").isNull(), F.col("sum")).otherwise(F.zip_with("sum", "more", lambda x, y: x + y))
+    backed = split.join(more, "word", "left").select("word", F.transform(total, lambda x: x / F.col("k")).alias("logs"))
     return settle(looked.where(F.col("logs").isNotNull()).unionByName(backed), "language-missing")
 
 
@@ -352,26 +382,25 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
         return guesses(names, scores, np.concatenate(none) if none else np.zeros(0, bool))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at, some in zip(starts_of(batch), cut(batch.column("text").to_pylist())):
+            at = 0
+            for some in cut(batch.column("text").to_pylist()):
                 sums, counts, lacked = shared.value.sums(some)
                 keep = np.flatnonzero(np.array([bool(x) for x in lacked], bool) & lettered(some))
                 met = [Counter(lacked[i]) for i in keep.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(row + at + keep),
                         batch.column("key").take(pa.array(at + keep)),
                         pa.array(list(sums[keep]), pa.list_(pa.float64())),
                         pa.array(counts[keep]),
                         pa.array([[{"word": w, "k": k} for w, k in m.items()] for m in met], met_type),
                     ],
-                    ["key", "sums", "n", "met"],
+                    ["row", "key", "sums", "n", "met"],
                 )
-
-    def starts_of(batch: pa.RecordBatch) -> Iterator[int]:
-        at = 0
-        for some in cut(batch.column("text").to_pylist()):
-            yield at
-            at += len(some)
+                at += len(some)
+            row += batch.num_rows
 
     met_type = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
     # A result belongs to the text. Other columns are in the key only to spread copies of one text.
@@ -379,14 +408,15 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
     of = F.concat(F.md5(F.col(text_col).cast("binary")), F.hex(F.pmod(F.xxhash64(*flat), F.lit(4096)))) if flat else F.md5(F.col(text_col).cast("binary"))
     asked = docs.select(of.alias("key"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     asked = settle(
-        asked.mapInArrow(ask, "key string, sums array<double>, n long, met array<struct<word: string, k: bigint>>")
-        .dropDuplicates(["key"]),
+        asked.mapInArrow(
+            ask, "row long, key string, sums array<double>, n long, met array<struct<word: string, k: bigint>>"
+        ),
         "language-asked",
     )
-    met = asked.select("key", F.explode("met").alias("m")).select("key", "m.word", "m.k")
+    met = asked.select("row", F.explode("met").alias("m")).select("row", "m.word", "m.k")
     logs = missing_logs(met.select("word").distinct(), model)
     width = len(model.languages)
-    rest = met.join(logs, "word").groupBy("key").agg(summed_logs("logs", F.col("k"), width).alias("rest"))
+    rest = met.join(logs, "word").groupBy("row").agg(summed_logs("logs", F.col("k"), width).alias("rest"))
 
     @arrow_udf(GUESS)
     def whole(sums: pa.Array, counts: pa.Array) -> pa.Array:
@@ -396,7 +426,10 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
 
     added = F.transform(F.arrays_zip("sums", "rest"), lambda x: x["sums"] + x["rest"])
     others = settle(
-        asked.join(rest, "key").select(F.col("key").alias(key), whole(added, F.col("n")).alias(f"o{guess}")), "language-guessed"
+        asked.join(rest, "row")
+        .select(F.col("key").alias(key), whole(added, F.col("n")).alias(f"o{guess}"))
+        .dropDuplicates([key]),
+        "language-guessed",
     )
     guessed = docs.withColumns({guess: cached(F.col(text_col)), key: of}).join(others, key, "left")
     final = F.coalesce(f"`o{guess}`", f"`{guess}`")
