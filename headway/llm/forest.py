@@ -1,10 +1,9 @@
-"""Near-duplicate join on word shingles with a forest of MinHash prefix tries.
+"""Near-duplicate join on word shingles by prefixes of MinHash signatures.
 
-Each tree of the forest sorts the documents by a signature of MinHash values; documents that agree
-on a prefix meet in a node of that trie. The prefixes start at full length and are shortened, tree by
-tree, until a pair at the threshold meets in some node with the target recall. (What meets at a longer
-prefix also meets at a shorter one, so only the last depths need to be looked at.) Whatever meets is
-then verified exactly.
+Each tree has a signature of MinHash values of its own; documents that agree on its first values, a
+prefix of fixed length, meet in a node. The lengths are as long as can be for a pair at the threshold
+to meet in some node with the target recall; they come from the threshold, the number of trees and the
+recall, not from the data (banded LSH, no adaptive descent). Whatever meets is then verified exactly.
 
 How it holds up
 - Texts with equal shingle sets are one set from the start; only their number is carried on.
