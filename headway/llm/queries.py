@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, mixing, packing, pii, spotsigs, trie_lm, vafile, warc
-from headway.llm.shared import remainder, settle, table
+from headway.llm import bpe, forest, language, mixing, packing, periodic, pii, spotsigs, trie_lm, vafile, warc
+from headway.llm.shared import remainder, settle, table, text_or_empty
 
 #: Vocabulary file that the queries encode with.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -245,3 +245,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("positions", 256).alias("positions_sha256"),
     )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, one in ten with a tail that repeats, and what is left without them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = docs.select("doc_id", periodic.stuttered(text_or_empty(F.col("text")), F.col("doc_id")).alias("text"))
+    found = periodic.with_runs(edited)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = periodic.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("best")[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("best")["length"] / F.col("best")["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
