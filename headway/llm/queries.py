@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, forest, language, mixing, packing, periodic, pii, spotsigs, trie_lm, vafile, variants, warc
+from headway.llm import bpe, forest, language, maintext, mixing, packing, periodic, pii, spotsigs, trie_lm, vafile, variants, warc
 from headway.llm.shared import remainder, settle, table, text_or_empty
 
 #: Vocabulary file that the queries encode with.
@@ -270,3 +270,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all texts, one in 31 with a letter left out, with their near words, forms and roots."""
     docs = table(spark, sf_dir, "documents")
     return variants.variants(variants.word_counts(docs, slips=31))
+
+
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return maintext.with_main_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
