@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.catalogue.inputs import Inputs
-from headway.catalogue.oracles import SQL
+from headway.catalogue.oracles import SQL, oracle_sql
 from headway.catalogue.queries import QUERIES
 from headway.plans.facts import fact_trip_schedule, trips_with_dates, trips_with_routes
 from headway.sources.tables import replace_partitions, replace_table
@@ -157,5 +157,7 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 2
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # Every query of the schedule library has its SQL; no SQL is without its query.
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     json.dumps(entry.oracle_sql())
