@@ -28,13 +28,13 @@ from headway.operators.cleaning import (
     nested_to_json,
     normalise_sentinels,
 )
-from headway.operators.history import SNAPSHOTS, VALID_FROM, VALID_TO, as_of
+from headway.operators.history import SNAPSHOTS, VALID_FROM, VALID_TO
 from headway.operators.latest import latest_partition, newest_day
 from headway.operators.merge import MERGES, merge_sources
 from headway.operators.quality import contract_violations, not_null_report, unique_report
 from headway.plans import analyses, daily, dimensions, facts, rollups, staging_views
 from headway.plans.contracts import contract, not_null_columns
-from headway.plans.snapshots import read_snapshot, take_snapshot
+from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
 from headway.schemas import INGESTED_AT, feed_schema, raw_schema
 from headway.session import scratch_dir
 from headway.sources.landing import land, read_gtfs_text, read_json_payload
@@ -587,15 +587,22 @@ def fact_stop_event(src: Inputs) -> DataFrame:
 # -- history ------------------------------------------------------------------------------
 
 
-def _history(src: Inputs, dimension: str, before: str, after: str) -> DataFrame:
-    """Three snapshots, kept on disk: the dimension before, after, and as before again."""
+def _kept(src: Inputs, dimension: str, before: str, after: str) -> str:
+    """Where three snapshots are kept: of the dimension before, after, and as before again."""
     spec = SNAPSHOTS[dimension]
     root = scratch_dir(src.spark, "snapshots")
     for state, at in zip((before, after, before), SNAPSHOT_TIMES):
         rows = src(state).withColumn(INGESTED_AT, F.to_timestamp(F.lit(at)))
-        run_at = dt.datetime.fromisoformat(at).replace(tzinfo=dt.timezone.utc)
-        take_snapshot(src.spark, root, spec, rows, run_at)
-    return read_snapshot(src.spark, root, spec)
+        take_snapshot(src.spark, root, spec, rows, _utc(at))
+    return root
+
+
+def _utc(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
+
+
+def _history(src: Inputs, dimension: str, before: str, after: str) -> DataFrame:
+    return read_snapshot(src.spark, _kept(src, dimension, before, after), SNAPSHOTS[dimension])
 
 
 @query("snapshot_dim_line")
@@ -615,8 +622,8 @@ def snapshot_dim_trip(src: Inputs) -> DataFrame:
 
 @query("snapshot_as_of")
 def snapshot_as_of(src: Inputs) -> DataFrame:
-    history = _history(src, "dim_stop", "stops_before", "stops_after")
-    return as_of(history, F.to_timestamp(F.lit(AS_OF))).select(
+    root = _kept(src, "dim_stop", "stops_before", "stops_after")
+    return read_as_of(src.spark, root, SNAPSHOTS["dim_stop"], _utc(AS_OF)).select(
         "stop_id", "stop_name", "municipality_id", VALID_FROM, VALID_TO
     )
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,36 +87,24 @@ def apply_changes(
     held meet no key and come out as they are.
     """
     columns = current.columns
-    held = open_rows.select(
-        F.struct(*columns, VERSION_ID, VALID_FROM, VALID_TO).alias("held"),
-        F.col(key).alias("_key"),
-        F.col(VALID_TO).isNull().alias("_open"),
+    # As text: an expression a column costs the driver more than the join of a small dimension.
+    held = open_rows.selectExpr(
+        f"struct({_listed([*columns, VERSION_ID, VALID_FROM, VALID_TO])}) held",
+        f"`{key}` _key",
+        f"{VALID_TO} is null _open",
     )
-    seen = current.select(
-        F.struct(*columns).alias("seen"), F.col(key).alias("_key"), F.lit(True).alias("_open")
-    )
-
-    is_new = F.col("held").isNull()
-    changed = reduce(
-        lambda found, c: found | ~F.col(f"held.{c}").eqNullSafe(F.col(f"seen.{c}")),
-        check,
-        F.lit(False),
-    )
-    superseded = ~is_new & F.col("seen").isNotNull() & changed
-
+    seen = current.selectExpr(f"struct({_listed(columns)}) seen", f"`{key}` _key", "true _open")
+    changed = " or ".join(f"not (held.`{c}` <=> seen.`{c}`)" for c in check) or "false"
     opened = F.struct(
-        *(F.col(f"seen.{c}").alias(c) for c in columns),
+        "seen.*",
         version_id(F.col(f"seen.{key}"), run_at).alias(VERSION_ID),
         run_at.alias(VALID_FROM),
         F.lit(None).cast("timestamp").alias(VALID_TO),
     )
-    closed = F.struct(
-        *(F.col(f"held.{c}").alias(c) for c in (*columns, VERSION_ID, VALID_FROM)),
-        run_at.alias(VALID_TO),
-    )
+    closed = F.col("held").withField(VALID_TO, run_at)
     versions = (
-        F.when(is_new, F.array(opened))
-        .when(superseded, F.array(closed, opened))
+        F.when(F.col("held").isNull(), F.array(opened))
+        .when(F.col("seen").isNotNull() & F.expr(changed), F.array(closed, opened))
         .otherwise(F.array(F.col("held")))
     )
     return (
@@ -127,6 +114,10 @@ def apply_changes(
     )
 
 
+def _listed(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
 def scd2(
     history: DataFrame, current: DataFrame, key: str, check: Sequence[str], run_at: Column
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from headway.operators.history import (
     first_snapshot,
     scd2,
 )
-from headway.plans.snapshots import read_snapshot, take_snapshot
+from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
 
 SPEC = SnapshotSpec("snapshot_thing", "id", ("name", "lat"))
 T = [dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in range(1, 6)]
@@ -178,9 +178,85 @@ def test_a_run_without_commit_is_invisible(spark, tmp_path):
     kept = read_snapshot(spark, root, SPEC).collect()
     leftovers = spark.createDataFrame(kept, read_snapshot(spark, root, SPEC).schema)
     for part in ("open", "closed"):
-        leftovers.write.parquet(f"{root}/{SPEC.name}/versions/state={part}/version=v2024-dead")
+        leftovers.write.parquet(f"{root}/{SPEC.name}/versions/version=v2024-dead/state={part}/bucket=0")
     assert summary(read_snapshot(spark, root, SPEC)) == EXPECTED[:1] + [
         (2, "b", 2.0, 1, None), (3, "c", None, 1, None),
     ]
     take_snapshot(spark, root, SPEC, state(spark, 1), T[1])
     assert read_snapshot(spark, root, SPEC).count() == 6
+
+
+def many(spark, n, salt=0, changed=()):
+    """n rows of which those whose id is in `changed` differ by `salt`."""
+    name = F.when(F.col("id").isin(*changed), F.lit(f"new {salt}")).otherwise(F.concat(F.lit("n"), "id"))
+    df = spark.range(n).select(F.col("id").cast("int").alias("id"), name.alias("name"), F.lit(1.0).alias("lat"))
+    return df.withColumn("ingested_at", F.lit(T[salt]).cast("timestamp"))
+
+
+def files_of(tmp_path):
+    return {str(f.relative_to(tmp_path)): f.stat().st_size for f in tmp_path.rglob("*.parquet")}
+
+
+def test_an_unchanged_dimension_writes_one_marker_row(spark, tmp_path):
+    root = str(tmp_path)
+    take_snapshot(spark, root, SPEC, many(spark, 1000), T[0], rows_per_bucket=100)
+    before = files_of(tmp_path)
+    # Another order, another partitioning and another stamp are no change.
+    again = many(spark, 1000, 1).repartition(5, "name").orderBy(F.desc("id"))
+    take_snapshot(spark, root, SPEC, again, T[1], rows_per_bucket=100)
+    new = {f: size for f, size in files_of(tmp_path).items() if f not in before}
+    assert len(new) == 1 and next(iter(new)).startswith("snapshot_thing/commits/") and sum(new.values()) < 4096
+    assert spark.read.parquet(f"{root}/{next(iter(new))}").count() == 1
+    assert read_snapshot(spark, root, SPEC).where(F.col(VALID_FROM) == at(0)).count() == 1000
+
+
+def test_only_changed_buckets_are_written(spark, tmp_path):
+    root = str(tmp_path)
+    take_snapshot(spark, root, SPEC, many(spark, 1000), T[0], rows_per_bucket=100)
+    assert len({f.split("bucket=")[1].split("/")[0] for f in files_of(tmp_path) if "bucket=" in f}) == 16
+    take_snapshot(spark, root, SPEC, many(spark, 1000, 1, (7,)), T[1], rows_per_bucket=100)
+    new = [f for f in files_of(tmp_path) if "/versions/version=v20240102" in f]
+    assert len({f.split("bucket=")[1].split("/")[0] for f in new}) == 1
+    kept = read_snapshot(spark, root, SPEC)
+    assert kept.count() == 1001 and kept.where("id = 7").count() == 2
+    # One of the other buckets' keys goes, and comes back as it was: its version stays open.
+    gone = many(spark, 1000, 1, (7,)).where("id <> 8")
+    take_snapshot(spark, root, SPEC, gone, T[2], rows_per_bucket=100)
+    take_snapshot(spark, root, SPEC, many(spark, 1000, 1, (7,)), T[3], rows_per_bucket=100)
+    assert summary(read_snapshot(spark, root, SPEC)) == summary(kept)
+
+
+def test_null_and_value_trading_places_is_a_change(spark, tmp_path):
+    root, spec = str(tmp_path), SnapshotSpec("s", "id", ("a", "b"))
+    rows = [("x", None), (None, "x")]
+    for (a, b), moment in zip(rows, T):
+        df = spark.createDataFrame([(1, a, b)], "id int, a string, b string").withColumn("ingested_at", at(0))
+        take_snapshot(spark, root, spec, df, moment)
+    assert read_snapshot(spark, root, spec).count() == 2
+
+
+def test_a_dimension_that_outgrows_its_buckets_is_dealt_anew(spark, tmp_path):
+    root = str(tmp_path)
+    take_snapshot(spark, root, SPEC, many(spark, 100), T[0], rows_per_bucket=100)
+    take_snapshot(spark, root, SPEC, many(spark, 90, 1, (3,)), T[1], rows_per_bucket=100)
+    grown = many(spark, 900, 1, (3,)).where("id < 50 or id >= 60")
+    take_snapshot(spark, root, SPEC, grown, T[2], rows_per_bucket=100)
+    kept = read_snapshot(spark, root, SPEC)
+    assert kept.count() == 901 and kept.where(F.col(VALID_TO).isNull()).select("id").distinct().count() == 900
+    take_snapshot(spark, root, SPEC, many(spark, 900, 1, (3,)), T[3], rows_per_bucket=100)
+    assert summary(read_snapshot(spark, root, SPEC)) == summary(kept)
+    assert len(spark.read.parquet(f"{root}/snapshot_thing/commits").where("bucket is null").collect()) == 4
+
+
+def test_as_of_leaves_out_runs_that_had_closed_before(spark, tmp_path):
+    root = str(tmp_path)
+    months = [dt.datetime(2022 + m // 12, m % 12 + 1, 1, tzinfo=dt.timezone.utc) for m in range(8)]
+    for m, moment in enumerate(months):
+        rows = spark.createDataFrame([(i, f"{i} {m // (i + 1)}", 0.0) for i in range(4)], "id int, name string, lat double")
+        take_snapshot(spark, root, SPEC, rows.withColumn("ingested_at", at(0)).select(SPEC.columns), moment)
+    whole = read_snapshot(spark, root, SPEC)
+    for moment in (months[0], months[3], months[3] + dt.timedelta(days=3), months[7], dt.datetime(2021, 1, 1, tzinfo=dt.timezone.utc)):
+        got = read_as_of(spark, root, SPEC, moment)
+        assert summary(got) == summary(as_of(whole, F.lit(moment).cast("timestamp")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan
