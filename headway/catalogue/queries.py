@@ -588,11 +588,15 @@ def fact_stop_event(src: Inputs) -> DataFrame:
 
 
 def _kept(src: Inputs, dimension: str, before: str, after: str) -> str:
-    """Where three snapshots are kept: of the dimension before, after, and as before again."""
+    """Where three snapshots are kept: of the dimension before, after, and as before again.
+
+    Snapshots are taken of dimensions as written, as in a daily run.
+    """
     spec = SNAPSHOTS[dimension]
     root = scratch_dir(src.spark, "snapshots")
+    written = {state: _written(src, src(state)) for state in (before, after)}
     for state, at in zip((before, after, before), SNAPSHOT_TIMES):
-        rows = src(state).withColumn(INGESTED_AT, F.to_timestamp(F.lit(at)))
+        rows = written[state].withColumn(INGESTED_AT, F.to_timestamp(F.lit(at)))
         take_snapshot(src.spark, root, spec, rows, _utc(at))
     return root
 
@@ -651,24 +655,27 @@ def _written(src: Inputs, df: DataFrame) -> DataFrame:
 
 def _models(src: Inputs) -> dict[str, DataFrame]:
     """The views, marts and snapshots that checks are declared for; what is a table, as written."""
-    views = {name: make(src) for name, make in VIEW_QUERIES.items()}
     marts = {
-        name: _written(src, make(src))
-        for name, make in {
-            "dim_calendar_service": dim_calendar_service,
-            "dim_line": dim_line,
-            "dim_stop": dim_stop,
-            "dim_trip": dim_trip,
-            "fact_trip_schedule": fact_trip_schedule,
-            "fact_stop_event": fact_stop_event,
-        }.items()
+        "dim_calendar_service": dim_calendar_service,
+        "dim_line": dim_line,
+        "dim_stop": dim_stop,
+        "dim_trip": dim_trip,
+        "fact_trip_schedule": fact_trip_schedule,
+        "fact_stop_event": fact_stop_event,
     }
     snapshots = {
-        "snapshot_dim_line": snapshot_dim_line(src),
-        "snapshot_dim_stop": snapshot_dim_stop(src),
-        "snapshot_dim_trip": snapshot_dim_trip(src),
+        "snapshot_dim_line": snapshot_dim_line,
+        "snapshot_dim_stop": snapshot_dim_stop,
+        "snapshot_dim_trip": snapshot_dim_trip,
     }
-    return {**views, **marts, **snapshots}
+    views = {name: make(src) for name, make in VIEW_QUERIES.items()}
+    written = in_parallel(
+        [
+            *(partial(lambda make: _written(src, make(src)), make) for make in marts.values()),
+            *(partial(make, src) for make in snapshots.values()),
+        ]
+    )
+    return {**views, **dict(zip([*marts, *snapshots], written, strict=True))}
 
 
 @query("dq_all")

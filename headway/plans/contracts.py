@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from headway.operators.quality import not_null_report, unique_report
+from headway.operators.quality import check_columns
 from headway.schemas import columns
 
 # Models whose schema is promised. Clock times are seconds of day.
@@ -81,10 +80,7 @@ def unique_columns(model: str) -> list[str]:
     return UNIQUE.get(model, "").split()
 
 
-def check_model(model: str, df: DataFrame) -> DataFrame:
-    """One row per declared check of `model` with the number of failures."""
-    report = not_null_report(df, not_null_columns(model, df))
-    repeated = unique_columns(model)
-    if repeated:
-        report = report.unionByName(unique_report(df, repeated))
-    return report.select(F.lit(model).alias("model"), "*")
+def check_model(model: str, df: DataFrame) -> list[tuple[str, str, str, int]]:
+    """(model, column, check, failures) of each declared check of `model`, in one pass over it."""
+    found = check_columns(df, not_null_columns(model, df), unique_columns(model))
+    return [(model, *check) for check in found]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from headway.sources.staging import (
 from headway.sources.tables import entity_name, in_parallel, register_views, replace_table
 
 FACT_PARTITIONS = {"fact_trip_schedule": "trip_date", "fact_stop_event": "stop_event_date"}
+CHECKS = "model string, column_name string, check_name string, failures bigint"
 MART_TABLES = (
     "dim_calendar_service",
     "dim_line",
@@ -95,9 +96,7 @@ def run(
     )
     build_marts(spark, warehouse, stamp, anchors, active_only, clock, gather_facts)
     marts = read_marts(spark, warehouse)
-    report = check_all(spark, {**staging_views(spark, warehouse, anchors), **marts})
-    # One row per declared check: the report is taken once and kept.
-    found = spark.createDataFrame(report.collect(), report.schema)
+    found = check_all(spark, {**staging_views(spark, warehouse, anchors), **marts})
     faulty = {r.model for r in failed(found).select("model").distinct().collect()}
     sound = {name: marts[name] for name in SNAPSHOTS if name not in faulty}
     snapshot_dimensions(spark, f"{warehouse}/snapshots", sound, run_at)
@@ -229,8 +228,12 @@ def open_catalog(spark: SparkSession, warehouse: str) -> list[str]:
 
 
 def check_all(spark: SparkSession, models: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per declared check of the given models with the number of failures."""
-    return reduce(DataFrame.unionByName, (check_model(m, df) for m, df in models.items()))
+    """One row per declared check of the given models with the number of failures.
+
+    Each model is passed over once; a few models are checked at a time.
+    """
+    found = in_parallel(partial(check_model, name, df) for name, df in models.items())
+    return spark.createDataFrame([row for rows in found for row in rows], CHECKS)
 
 
 def _staged_path(warehouse: str, table: str) -> str:

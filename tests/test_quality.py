@@ -3,8 +3,11 @@ from pyspark.sql import functions as F
 
 from headway.operators.quality import (
     ContractViolation,
+    check_columns,
+    check_report,
     contract_violations,
     enforce_contract,
+    first_look,
     not_null_report,
     repeated_values,
     unique_report,
@@ -73,7 +76,49 @@ def test_check_model(spark):
     df = spark.createDataFrame([("r1", "l"), ("r1", None)], "route_id string, line_id string").withColumns(
         {c: F.lit("x") for c in ("locality_ids", "pattern_ids", "region_ids", "partition_date", "ingested_at")}
     )
-    report = {(r.model, r.column_name, r.check_name): r.failures for r in check_model("stg_routes", df).collect()}
+    report = {(model, column, check): n for model, column, check, n in check_model("stg_routes", df)}
     assert report["stg_routes", "line_id", "not_null"] == 1
     assert report["stg_routes", "route_id", "unique"] == 1
     assert len(report) == 8
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_scan_and_one_shuffle_for_all_columns(spark, tmp_path):
+    wide = spark.range(5000).selectExpr("id", "cast(id as string) name", "if(id % 7 = 0, null, id) gap", "id % 10 few")
+    wide.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(first_look(table, ["name", "gap", "few"], ["id", "name", "few"])).split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1
+    # The rows are shuffled once, after copies are removed; the totals of the tasks meet in one.
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+    assert plan.index("Exchange SinglePartition") < plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate") < plan.index("Expand")
+    assert check_columns(table, ["name", "gap", "few"], ["id", "name", "few"]) == [
+        ("name", "not_null", 0), ("gap", "not_null", 715), ("few", "not_null", 0),
+        ("id", "unique", 0), ("name", "unique", 0), ("few", "unique", 10),
+    ]
+
+
+def test_shared_hashes_are_told_apart_by_value(spark, monkeypatch):
+    from headway.operators import quality
+
+    monkeypatch.setattr(quality, "_hash_of", lambda c, kind: F.length(F.col(c).cast("string")).cast("long"))
+    df = spark.createDataFrame([("a",), ("b",), ("c",), ("dd",), ("dd",), (None,), (None,)], "x string")
+    assert check_columns(df, ["x"], ["x"]) == [("x", "not_null", 2), ("x", "unique", 1)]
+
+
+def test_columns_of_every_kind(spark):
+    df = spark.createDataFrame(
+        [(0.0, [1], None), (-0.0, [1], None), (float("nan"), [None], None), (float("nan"), None, None)],
+        "d double, a array<int>, n int",
+    )
+    assert check_columns(df, ["d", "a", "n"], ["d", "a", "n"]) == [
+        ("d", "not_null", 0), ("a", "not_null", 1), ("n", "not_null", 4),
+        ("d", "unique", 2), ("a", "unique", 1), ("n", "unique", 0),
+    ]
+    assert check_columns(df.limit(0), ["d"], ["a"]) == [("d", "not_null", 0), ("a", "unique", 0)]
+    assert check_columns(df, [], []) == []
+    assert check_report(df, ["n"], []).collect()[0].failures == 4
