@@ -56,6 +56,7 @@ from headway.sources.tables import (
     replace_partitions,
     replace_table,
 )
+from headway.sources.versions import read_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,7 +215,7 @@ def stage_table_rebuild(src: Inputs) -> DataFrame:
     raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
     replace_partitions(src("raw_trips"), raw_path(raw_root, "gtfs", "trips"))
     path = stage_table(src.spark, raw_root, root, StagedTable("trips", "gtfs", "trips"), _run_at())
-    return src.spark.read.parquet(path)
+    return read_days(src.spark, path)
 
 
 @query("stage_table_day")
@@ -229,7 +230,7 @@ def stage_table_days_again(src: Inputs) -> DataFrame:
     for day, rows in (("20240101", fewer), ("20240102", raw.limit(0))):
         land(rows, raw_root, "gtfs", "trips", day)
         stage_table(src.spark, raw_root, root, table, _run_at(), day)
-    return src.spark.read.parquet(path)
+    return read_days(src.spark, path)
 
 
 def _staged_on_disk(src: Inputs, *tables: StagedTable) -> str:
@@ -250,7 +251,7 @@ def merge_staged_day_by_day(src: Inputs) -> DataFrame:
     )
     for day in DAYS:
         path = merge_staged(src.spark, root, "routes", _run_at(), day=day)
-    return src.spark.read.parquet(path)
+    return read_days(src.spark, path)
 
 
 @query("convert_staged")
@@ -259,7 +260,7 @@ def convert_staged_day_by_day(src: Inputs) -> DataFrame:
     root = _staged_on_disk(src, StagedTable("lines", "endpoint", "lines"))
     for day in DAYS:
         path = convert_staged(src.spark, root, "lines", day)
-    return src.spark.read.parquet(path)
+    return read_days(src.spark, path)
 
 
 @query("stage_all")
@@ -274,7 +275,7 @@ def stage_all_tables(src: Inputs) -> DataFrame:
     )
     written = stage_all(src.spark, raw_root, root, _run_at())
     counts = [
-        src.spark.read.parquet(path)
+        read_days(src.spark, path)
         .groupBy(F.lit(name).alias("table_name"), "partition_date")
         .agg(F.count(F.lit(1)).alias("row_count"))
         for name, path in written.items()

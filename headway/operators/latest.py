@@ -9,16 +9,26 @@ from pyspark.sql import functions as F
 
 from headway.schemas import PARTITION_COLUMN
 from headway.sources.tables import partition_values
+from headway.sources.versions import folders_in_force, is_versioned
+
+
+#: Name of the folder of rows without a day.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def newest_day(spark: SparkSession, path: str, column: str = PARTITION_COLUMN) -> dt.date | None:
     """The newest day that a table on disk holds rows of; None if it holds none.
 
-    Read off the names of the partition folders. From the newest on, a day is asked for one
-    row: a day that was landed again without rows has a folder, but is not the latest.
+    Read off the names of the partition folders, or off the commits of a table that has them. From
+    the newest on, a day is asked for one row: a day that was landed again without rows has a folder,
+    but is not the latest.
     """
-    for value in reversed(partition_values(spark, path, column)):
-        if not spark.read.parquet(f"{path}/{column}={value}").isEmpty():
+    if is_versioned(spark, path):
+        folders = folders_in_force(spark, path, column)
+    else:
+        folders = {v: f"{path}/{column}={v}" for v in partition_values(spark, path, column)}
+    for value, folder in sorted(folders.items(), reverse=True):
+        if value != NO_VALUE and not spark.read.parquet(folder).isEmpty():
             return dt.date.fromisoformat(value)
     return None
 

@@ -28,6 +28,7 @@ from headway.sources.staging import (
     ENTITIES,
     convert_staged,
     merge_staged,
+    read_staged,
     stage_all,
     staging_path,
 )
@@ -241,7 +242,7 @@ def _staged_path(warehouse: str, table: str) -> str:
 
 
 def _staged(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    return spark.read.parquet(_staged_path(warehouse, table))
+    return read_staged(spark, f"{warehouse}/staging", table)
 
 
 def failed(report: DataFrame) -> DataFrame:

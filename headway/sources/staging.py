@@ -17,9 +17,8 @@ from headway.sources.tables import (
     in_parallel,
     raw_path,
     read_with_schema,
-    replace_day,
-    replace_table,
 )
+from headway.sources.versions import read_days, replace_all_at_once, replace_day_at_once
 
 
 @dataclass(frozen=True)
@@ -71,6 +70,11 @@ def staging_path(root: str, table: str) -> str:
     return f"{root}/staging_{table}"
 
 
+def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A staging table as of its last committed write."""
+    return read_days(spark, staging_path(root, table))
+
+
 def parse_partition_date(df: DataFrame) -> DataFrame:
     """The extraction day from `yyyyMMdd` text to a date; unparseable text gives NULL."""
     return df.withColumn(PARTITION_COLUMN, F.try_to_date(PARTITION_COLUMN, "yyyyMMdd"))
@@ -105,11 +109,9 @@ def stage_table(
     )
     path = staging_path(staging_root, table.schema)
     if day is None:
-        replace_table(stage(raw, run_at), path, PARTITION_COLUMN)
-    else:
-        date = dt.datetime.strptime(day, "%Y%m%d").date()
-        replace_day(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path, date.isoformat())
-    return path
+        return _write(stage(raw, run_at), path, None)
+    date = dt.datetime.strptime(day, "%Y%m%d").date()
+    return _write(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path, date)
 
 
 def stage_all(
@@ -142,8 +144,8 @@ def merge_staged(
     """
     if day is not None and not match_partition:
         raise ValueError("a single day can only be merged when extraction days must match")
-    endpoint = spark.read.parquet(staging_path(staging_root, f"endpoint_{entity}"))
-    feed = spark.read.parquet(staging_path(staging_root, f"gtfs_{entity}"))
+    endpoint = read_staged(spark, staging_root, f"endpoint_{entity}")
+    feed = read_staged(spark, staging_root, f"gtfs_{entity}")
     if day is not None:
         endpoint = endpoint.where(F.col(PARTITION_COLUMN) == F.lit(day))
         feed = feed.where(F.col(PARTITION_COLUMN) == F.lit(day))
@@ -157,7 +159,7 @@ def convert_staged(
     spark: SparkSession, staging_root: str, table: str, day: dt.date | None = None
 ) -> str:
     """Write the `_converted` form of a table, with its JSON text columns as arrays."""
-    staged = spark.read.parquet(staging_path(staging_root, table))
+    staged = read_staged(spark, staging_root, table)
     if day is not None:
         staged = staged.where(F.col(PARTITION_COLUMN) == F.lit(day))
     converted = json_to_array(staged, ARRAY_COLUMNS[table])
@@ -165,8 +167,9 @@ def convert_staged(
 
 
 def _write(df: DataFrame, path: str, day: dt.date | None) -> str:
+    """Replace one day, or the whole table, at once: readers see it as it was until all is written."""
     if day is None:
-        replace_table(df, path, PARTITION_COLUMN)
+        replace_all_at_once(df, path)
     else:
-        replace_day(df, path, day.isoformat())
+        replace_day_at_once(df, path, day.isoformat())
     return path

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.plans import analyses, daily
 from headway.plans.staging_views import CROSS_ANCHORS
 from headway.schemas import feed_schema
-from headway.sources.staging import convert_staged, merge_staged, stage_all
+from headway.sources.staging import convert_staged, merge_staged, read_staged, stage_all
 
 FIRST, SECOND = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
@@ -104,7 +104,7 @@ def test_checks(warehouse):
 
 def test_staging_keeps_both_days_and_views_the_last(spark, warehouse):
     root, _ = warehouse
-    staged = spark.read.parquet(f"{root}/staging/staging_stops_converted")
+    staged = read_staged(spark, f"{root}/staging", "stops_converted")
     assert {str(r[0]) for r in staged.select("partition_date").distinct().collect()} == {str(FIRST), str(SECOND)}
     views = daily.staging_views(spark, root)
     stops = {r.stop_id: r for r in views["stg_stops"].collect()}
@@ -115,7 +115,7 @@ def test_staging_keeps_both_days_and_views_the_last(spark, warehouse):
     assert trips == {"t0": "Weekdays", "t1": "UNKNOWN", "t2": "UNKNOWN"}
     anchored = daily.staging_views(spark, root, CROSS_ANCHORS)
     assert anchored["stg_trips"].count() == 3 and anchored["stg_periods"].count() == 1
-    assert spark.read.parquet(f"{root}/staging/staging_lines_converted").first().municipality_ids == ["a", "b"]
+    assert read_staged(spark, f"{root}/staging", "lines_converted").first().municipality_ids == ["a", "b"]
 
 
 def test_raw_layer_has_what_staging_does_not_read(spark, warehouse):
