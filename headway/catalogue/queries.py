@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -37,6 +38,7 @@ from headway.plans.contracts import contract, not_null_columns
 from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
 from headway.schemas import INGESTED_AT, feed_schema, raw_schema
 from headway.session import scratch_dir
+from headway.sources.fact_tables import write_fact
 from headway.sources.landing import land, read_gtfs_text, read_json_payload
 from headway.sources.staging import (
     ARRAY_COLUMNS,
@@ -285,9 +287,13 @@ def stage_all_tables(src: Inputs) -> DataFrame:
 
 @query("fact_partitioned_sink")
 def fact_partitioned_sink(src: Inputs) -> DataFrame:
-    """The trip-schedule fact written by date and read back."""
+    """The trip-schedule fact written by date, in buckets planned from its roll-up, and read back."""
     path = f"{scratch_dir(src.spark, 'marts')}/fact_trip_schedule"
-    replace_table(_schedule(src), path, "trip_date", gather=False)
+    layout = daily.fact_layouts(src("trips"), src("stop_times"), src("calendar"))["fact_trip_schedule"]
+    name = f"fact_trip_schedule_{uuid.uuid4().hex}"
+    write_fact(_schedule(src, layout=layout), name, path, "trip_date", layout)
+    # The catalog's entry is this query's own; the files stay.
+    src.spark.sql(f"drop table {name}")
     return src.spark.read.parquet(path)
 
 

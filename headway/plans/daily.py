@@ -20,8 +20,16 @@ from headway.operators.quality import enforce_contract
 from headway.plans.contracts import CONTRACTS, check_model, contract
 from headway.plans.dimensions import dim_calendar_service, dim_line, dim_stop, dim_trip
 from headway.plans.facts import fact_stop_event, fact_trip_schedule
+from headway.plans import rollups
 from headway.plans.snapshots import read_snapshot, snapshot_dimensions
 from headway.plans.staging_views import VIEWS
+from headway.sources.fact_tables import (
+    FactLayout,
+    is_laid_out,
+    open_fact,
+    plan_layout,
+    write_fact,
+)
 from headway.sources.landing import gtfs_members, land_endpoint, land_gtfs, landed_endpoints
 from headway.sources.staging import (
     ARRAY_COLUMNS,
@@ -35,6 +43,8 @@ from headway.sources.staging import (
 from headway.sources.tables import entity_name, in_parallel, register_views, replace_table
 
 FACT_PARTITIONS = {"fact_trip_schedule": "trip_date", "fact_stop_event": "stop_event_date"}
+#: Bytes of a row as written: the key, a hash in text, takes most of it.
+FACT_ROW_BYTES = {"fact_trip_schedule": 50.0, "fact_stop_event": 55.0}
 CHECKS = "model string, column_name string, check_name string, failures bigint"
 MART_TABLES = (
     "dim_calendar_service",
@@ -162,9 +172,9 @@ def build_marts(
 ) -> None:
     """Write the dimensions, then the facts; the stop-event fact reads the stop dimension back.
 
-    gather_facts: by default each task writes a file for every day it has rows of, so a fact
-    has tasks x days files at most. Where that is more than the file system bears, gather the
-    rows of a day first: few files a day, for a shuffle of the multiplied rows.
+    The facts are bucketed by trip, with as many files a day as the largest day takes, planned from the
+    roll-ups. That holds while Spark broadcasts the calendar; where it is larger, gather_facts gathers
+    the rows of a day before they are written: few files a day, for a shuffle of the multiplied rows.
     """
     v = staging_views(spark, warehouse, anchors)
     trips, stop_times, calendar = (
@@ -176,9 +186,15 @@ def build_marts(
         "dim_calendar_service",
     )
 
+    running = calendar.where("exception_type = 1") if active_only else calendar
+    layouts = {} if gather_facts else fact_layouts(trips, stop_times, running)
+
     def write(name: str, df: DataFrame) -> None:
         path = f"{warehouse}/marts/{name}"
-        replace_table(df, path, FACT_PARTITIONS.get(name), gather=gather_facts)
+        if name in layouts:
+            write_fact(df, name, path, FACT_PARTITIONS[name], layouts[name])
+        else:
+            replace_table(df, path, FACT_PARTITIONS.get(name))
 
     independent = {
         "dim_calendar_service": calendar_service,
@@ -186,7 +202,7 @@ def build_marts(
         "dim_stop": dim_stop(v["stg_stops"], run_at),
         "dim_trip": dim_trip(trips, run_at),
         "fact_trip_schedule": fact_trip_schedule(
-            trips, stop_times, calendar, clock, active_only, run_at
+            trips, stop_times, calendar, clock, active_only, run_at, layouts.get("fact_trip_schedule")
         ),
     }
     in_parallel(partial(write, name, df) for name, df in independent.items())
@@ -202,10 +218,28 @@ def build_marts(
             v["stg_municipalities"],
             active_only,
             run_at,
+            layouts.get("fact_stop_event"),
         ),
     )
 
 
+def fact_layouts(
+    trips: DataFrame, stop_times: DataFrame, calendar: DataFrame
+) -> dict[str, FactLayout]:
+    """How the two facts are to lie on disk: both by trip, a day in as many files as it needs."""
+    counts = {
+        "fact_trip_schedule": (rollups.trips_per_day(trips, calendar), rollups.TRIP_COUNT),
+        "fact_stop_event": (
+            rollups.stop_events_by_date(stop_times, trips, calendar),
+            rollups.STOP_EVENT_COUNT,
+        ),
+    }
+    return {
+        name: plan_layout(per_day, "trip_id", FACT_PARTITIONS[name], rows, FACT_ROW_BYTES[name])
+        for name, (per_day, rows) in counts.items()
+    }
+
+
 def read_marts(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     """The mart tables as written."""
     return {name: spark.read.parquet(f"{warehouse}/marts/{name}") for name in MART_TABLES}
@@ -225,6 +259,12 @@ def open_catalog(spark: SparkSession, warehouse: str) -> list[str]:
         **read_snapshots(spark, warehouse),
     }
     register_views(tables)
+    for name in FACT_PARTITIONS:
+        path = f"{warehouse}/marts/{name}"
+        if is_laid_out(spark, path):
+            # A view would hide the buckets that joins on the trip go by.
+            spark.catalog.dropTempView(name)
+            open_fact(spark, name, path)
     return sorted(tables)
 
 

@@ -30,6 +30,7 @@ from headway.functions.keys import surrogate_key
 from headway.operators.quality import enforce_contract
 from headway.plans.contracts import contract
 from headway.plans.dimensions import _stamp
+from headway.sources.fact_tables import FactLayout, on_days
 
 REGULAR_DAY = 1
 
@@ -80,12 +81,14 @@ def trips_with_routes(trips: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
-def trips_with_dates(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Trips once per day their service runs."""
+def trips_with_dates(
+    trips: DataFrame, calendar: DataFrame, layout: FactLayout | None = None
+) -> DataFrame:
+    """Trips once per day their service runs; laid out for writing where a layout is given."""
     days = calendar.select(
         "service_id", "service_date", "date", "day_type", "exception_type", "holiday"
     )
-    return trips.join(days, "service_id")
+    return on_days(trips, days, layout)
 
 
 def stops_enriched(stops: DataFrame, municipalities: DataFrame) -> DataFrame:
@@ -139,12 +142,14 @@ def fact_trip_schedule(
     clock: str = "wrapped",
     active_only: bool = False,
     run_at: Column | None = None,
+    layout: FactLayout | None = None,
 ) -> DataFrame:
     """One row per trip and day its service runs.
 
     A trip without stop times keeps NULL times, duration and stop count, distance 0
     and an off-peak flag. `active_only` leaves out calendar rows that remove a day
-    from a service; by default they count as days.
+    from a service; by default they count as days. `layout`: how the rows are to lie
+    when they are written.
     """
     days = calendar.select("service_id", "service_date", "day_type", "exception_type", "holiday")
     if active_only:
@@ -158,7 +163,7 @@ def fact_trip_schedule(
         "direction_id",
         "trip_headsign",
     ).join(trip_summary(stop_times, clock), "trip_id", "left")
-    fact = scheduled.join(days, "service_id").select(
+    fact = on_days(scheduled, days, layout).select(
         surrogate_key("trip_id", "service_date").alias("trip_key"),
         "trip_id",
         F.col("service_date").alias("trip_date"),
@@ -193,8 +198,9 @@ def fact_stop_event(
     municipalities: DataFrame,
     active_only: bool = False,
     run_at: Column | None = None,
+    layout: FactLayout | None = None,
 ) -> DataFrame:
-    """One row per stop of a trip and day its service runs."""
+    """One row per stop of a trip and day its service runs. `layout`: as for the trip schedule."""
     if active_only:
         calendar = calendar.where(F.col("exception_type") == REGULAR_DAY)
     calls = (
@@ -202,7 +208,7 @@ def fact_stop_event(
         .join(trips_with_routes(trips, routes), "trip_id")
         .join(stops_enriched(stops, municipalities), "stop_id")
     )
-    return trips_with_dates(calls, calendar).select(
+    return trips_with_dates(calls, calendar, layout).select(
         surrogate_key("stop_id", "trip_id", "service_date", "stop_sequence").alias(
             "stop_event_key"
         ),

@@ -35,6 +35,21 @@ def trips_per_day(trips: DataFrame, calendar: DataFrame) -> DataFrame:
     return per_service.join(days, "service_id").select("trip_date", TRIP_COUNT)
 
 
+def stop_events_by_date(
+    stop_times: DataFrame, trips: DataFrame, calendar: DataFrame
+) -> DataFrame:
+    """(stop_event_date, stop_event_count): stop events per service and day, before any stop or route is left out."""
+    calls = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("_calls"))
+    per_service = (
+        trips.select("trip_id", "service_id")
+        .join(calls, "trip_id")
+        .groupBy("service_id")
+        .agg(F.sum("_calls").alias(STOP_EVENT_COUNT))
+    )
+    days = calendar.select("service_id", F.col("service_date").alias("stop_event_date"))
+    return per_service.join(days, "service_id").select("stop_event_date", STOP_EVENT_COUNT)
+
+
 def trip_durations(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame) -> DataFrame:
     """(duration_minutes, trip_count): trip days per service and duration."""
     summary = trip_summary(stop_times).select("trip_id", "duration_minutes")
