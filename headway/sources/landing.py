@@ -15,6 +15,7 @@ from headway.schemas import (
     PARTITION_COLUMN,
     feed_schema,
 )
+from headway.sources.quoted_text import read_quoted_records
 from headway.sources.tables import entity_name, raw_path, replace_day
 
 
@@ -63,28 +64,36 @@ def read_gtfs_text(
     """Rows of a GTFS member (CSV with a header) with the file name as lineage.
 
     Quotes within quoted text are doubled, as the CSV standard has it. multi_line: quoted
-    text may hold line breaks; Spark then reads a file in one task. A row with more or
-    fewer fields than the header, such as a cut one, stops the read.
+    text may hold line breaks; the records are then put together from lines, by as many tasks as
+    the files have ranges (the header is one line). A row with more or fewer fields than the
+    header, such as a cut one, stops the read.
 
     Columns are matched by header name, whatever their order; one that the file
     lacks is NULL and one the schema lacks is left out. Without a schema every
     column is text. Files under one path must share their header: a different one
     stops the read instead of shifting columns.
     """
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
     text = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
+        .options(**options)
         # A row is judged by all its fields, whichever of them are read.
         .option("columnPruning", False)
         .csv(path)
     )
-    fields = text.schema if schema is None else schema
-    typed = [_typed(f, f.name in text.columns).alias(f.name) for f in fields]
-    return text.select(*typed, F.col("_metadata.file_name").alias(FILE_LINEAGE))
+    file_name = F.col("_metadata.file_name")
+    names = text.columns
+    if multi_line:
+        header = spark.read.option("lineSep", "\n").text(path).first()
+        records = read_quoted_records(spark, path, header.value.removesuffix("\r") if header else "")
+        plain = ", ".join(f"`{c}` string" for c in names)
+        parsed = F.from_csv("record", F.lit(plain), options)
+        text = records.select(parsed.alias("row"), "file_name").select("row.*", "file_name")
+        file_name = F.col("file_name")
+    fields = text.select(names).schema if schema is None else schema
+    typed = [_typed(f, f.name in names).alias(f.name) for f in fields]
+    return text.select(*typed, file_name.alias(FILE_LINEAGE))
 
 
 def land(df: DataFrame, root: str, source: str, entity: str, day: str) -> str:
