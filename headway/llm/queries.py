@@ -41,7 +41,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.octet_length("payload").cast("long").alias("payload_bytes"),
             F.sha1("payload").alias("payload_digest"),
             "fault",
-        ).dropDuplicates(["record_id"]),
+        ),
         "warc-read",
     )
     held = records.where(F.col("record_type") == "response").select(

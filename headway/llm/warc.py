@@ -7,9 +7,11 @@ transfer framing of the joined block is decoded.
 
 Defined results
 - Null html: an empty payload. Null ids and urls are written as absent headers and read back null.
-- Rows that agree in id, url and payload are the same capture: one record id, one row read back.
-- Of records with equal payloads of revisit_bytes or more, that of the largest id (ties: of the
-  largest record id) is the response, the others revisit it.
+- Every row is a record of its own and is read back as one row, also of rows that agree in id, url and
+  payload.
+- Of records with equal payloads of revisit_bytes or more, that of the largest id is the response, the
+  others revisit it (repeated rows of that id are responses too; of them the largest record id is
+  referred to).
 - A record whose segments are incomplete, out of number or of another total length than stated, or
   whose framing is broken, is read with a null payload and the fault in column `fault`.
 - Empty tables: no rows. Other columns, whatever their names, are not archived.
@@ -28,6 +30,8 @@ from headway.llm.shared import settle
 from headway.session import scratch_dir
 
 END = b"\r\n\r\n"
+#: Copies of a row that are made again at once.
+COPIES = 1_000
 PARSED = (
     "record_id string, type string, origin string, segment int, total long, refers_to string, "
     "page_id long, url string, digest string, block binary, fault string"
@@ -47,9 +51,20 @@ def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
         F.sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
-    named = F.sha2(F.to_json(F.struct("page_id", "url", "digest")), 256)
-    parts = [F.substring(named, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return out.withColumn("record_id", F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts)))
+    named = out.withColumn("name", F.sha2(F.to_json(F.struct("page_id", "url", "digest")), 256))
+    repeated = settle(named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "warc-copies")
+    once = named.join(repeated, "name", "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    # Copies of a row are told apart by number. One of them stands for all, combined in the tasks, and is
+    # multiplied again in blocks, so that many copies are many tasks' work.
+    one = named.join(repeated, "name").groupBy("name").agg(F.first("n").alias("n"), *(F.first(c).alias(c) for c in out.columns))
+    blocks = one.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    dealt = blocks.repartition("name", "block")
+    last = F.least(F.col("n"), (F.col("block") + 1) * COPIES)
+    copies = dealt.withColumn("copy", F.explode(F.sequence(F.col("block") * COPIES + 1, last))).select(once.columns)
+    numbered = F.when(F.col("copy") > 1, F.sha2(F.concat_ws("#", "name", "copy"), 256)).otherwise(F.col("name"))
+    parts = [F.substring(numbered, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    record_id = F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts))
+    return once.unionByName(copies).select(*out.columns, record_id.alias("record_id"))
 
 
 def with_revisits(records: DataFrame, revisit_bytes: int) -> DataFrame:
@@ -65,11 +80,11 @@ def with_revisits(records: DataFrame, revisit_bytes: int) -> DataFrame:
         .groupBy("digest", "payload_bytes")
         .agg(keeper.alias("keeper"), F.min("record_id").alias("least"))
         .where(F.col("least") != F.col("keeper.record"))
-        .select("digest", "payload_bytes", F.col("keeper.record").alias("holder"))
+        .select("digest", "payload_bytes", F.col("keeper.record").alias("holder"), F.col("keeper.id").alias("holder_id"))
     )
     repeated = settle(repeated, "warc-repeated")
     joined = records.join(repeated, ["digest", "payload_bytes"], "left")
-    other = F.col("holder").isNotNull() & (F.col("holder") != F.col("record_id"))
+    other = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder_id"))
     return joined.select(*records.columns, F.when(other, F.col("holder")).alias("refers_to"))
 
 

@@ -1,5 +1,7 @@
 """BPE against the public library that defines the files, and round trips."""
 
+import hashlib
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -7,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from headway.llm import bpe
+from headway.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,3 +71,19 @@ def test_columns(spark):
     assert bpe.encode(docs.limit(0), PATH).collect() == []
     odd = spark.createDataFrame([(None,), ([10**6],)], "token_ids array<int>")
     assert [r.decoded for r in bpe.decode(odd, PATH).collect()] == ["", ""]
+
+
+def test_the_query_against_the_library(spark, sf_dir, tmp_path, theirs):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(d.doc_id, d.text) for d in docs]
+    rows += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, " \n"), (10**6 + 3, "x" * 20_000), (None, "no id"), (None, "no id")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    theirs.no_padding()
+    theirs.no_truncation()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = []
+    for (doc_id, text), found in zip(rows, theirs.encode_batch([t or "" for _, t in rows], add_special_tokens=False), strict=True):
+        decoded = theirs.decode(found.ids, skip_special_tokens=False)
+        want.append((doc_id, len(found.ids), sha(" ".join(map(str, found.ids))), sha(decoded)))
+    got = QUERIES["op1_bpe"](spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

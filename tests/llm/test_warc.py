@@ -32,7 +32,7 @@ def test_round_trip(spark):
         else:
             assert bytes(r.payload) == body and r.refers_to is None
     assert got[(5, "response")].url is None and got[(8, "response")].url == "u%0D%0A8"
-    assert out.select("record_id").distinct().count() == 10
+    assert out.select("record_id").distinct().count() == out.count() == 11
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
@@ -69,3 +69,22 @@ def test_broken_archives_are_told(data):
 def test_plain_bodies_are_left_alone():
     assert warc.unchunk(b"HTTP/1.1 200 OK\r\n\r\nbody") == b"body"
     assert warc.unchunk(b"HTTP/1.1 200 OK") is None
+
+
+def test_the_query_has_a_row_for_each_page_row(spark, tmp_path):
+    """Repeated rows, small and large, and equal payloads of other pages; against the query's SQL."""
+    import duckdb
+
+    from headway.llm.queries import ORACLES, QUERIES
+
+    large = "long page " * 5000
+    rows = [(1, "u1", large)] * 3 + [(2, "u2", large)] * 2 + [(3, "u3", "small")] * 4 + [(4, "u4", ""), (5, "u5", None)]
+    rows += [(6, "u6", "y" * 1200), (7, "u6", "y" * 1200)] * 2 + [(8, "u8", "z" * 2000)] * 2500
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["op6_warc"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    theirs = con.execute(ORACLES["op6_warc"])
+    names = [c[0] for c in theirs.description]
+    assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, theirs.fetchall()))
+    assert got.count() == len(rows) and got.where("refers_to = 2 and page_id = 1").count() == 3
