@@ -266,6 +266,12 @@ SQL = {
         select '/object', cast(c_custkey as string), c_name,
                concat(cast(c_nationkey as string), '|', cast(to_json([c_mktsegment]) as string))
         from $customer""",
+    "nested_endpoint": """
+        select 'facilities_schools' entity, cast(c_custkey as string) id, c_name "name",
+               '/facilities/schools' _endpoint from $customer
+        union all
+        select 'facilities_helpdesks_all', cast(s_suppkey as string), s_name, '/facilities/helpdesks/all/'
+        from $supplier""",
     "nested_to_json": """
         select c_custkey, cast(to_json({'name': c_name, 'nation': c_nationkey}) as string) place,
                cast(to_json([c_mktsegment, concat('é', c_name)]) as string) tags,

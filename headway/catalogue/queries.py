@@ -39,7 +39,13 @@ from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
 from headway.schemas import INGESTED_AT, feed_schema, raw_schema
 from headway.session import scratch_dir
 from headway.sources.fact_tables import write_fact
-from headway.sources.landing import land, read_gtfs_text, read_json_payload
+from headway.sources.landing import (
+    land,
+    land_endpoint,
+    landed_endpoints,
+    read_gtfs_text,
+    read_json_payload,
+)
 from headway.sources.staging import (
     ARRAY_COLUMNS,
     StagedTable,
@@ -52,6 +58,7 @@ from headway.sources.staging import (
     staged_tables,
 )
 from headway.sources.tables import (
+    entity_name,
     in_parallel,
     raw_path,
     read_with_schema,
@@ -161,6 +168,27 @@ def nested_cells_to_json(src: Inputs) -> DataFrame:
     return nested_to_json(nested)
 
 
+@query("nested_endpoint")
+def nested_endpoints(src: Inputs) -> DataFrame:
+    """Payloads of nested endpoints, found in the landing and read back from raw under their entity names."""
+    landing, root = scratch_dir(src.spark, "landing"), scratch_dir(src.spark, "raw")
+    payloads = {
+        "/facilities/schools": "select cast(c_custkey as string) id, c_name `name` from $customer",
+        "/facilities/helpdesks/all/": "select cast(s_suppkey as string) id, s_name `name` from $supplier",
+    }
+    for endpoint, sql in payloads.items():
+        document = F.to_json(F.struct(F.array(F.struct("id", "name")).alias("data")))
+        rows = src.query(sql).select(document.alias("value"))
+        rows.write.text(f"{landing}/{entity_name(endpoint)}")
+    named = {entity_name(endpoint): endpoint for endpoint in payloads}
+    parts = []
+    for entity in landed_endpoints(src.spark, landing):
+        path = land_endpoint(src.spark, landing, root, named[entity], "20240101", "data", multi_line=False)
+        read = src.spark.read.parquet(path).select(F.lit(entity).alias("entity"), "id", "name", "_endpoint")
+        parts.append(read)
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("read_gtfs_text")
 def read_gtfs_text_member(src: Inputs) -> DataFrame:
     """A feed member written as CSV in its own column order, read back by header name."""

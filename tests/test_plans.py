@@ -15,7 +15,7 @@ FORBIDDEN = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin",
 WRITES = {
     "read_json_payload", "read_gtfs_text", "dynamic_overwrite", "schema_on_read", "stage_table",
     "stage_all", "fact_partitioned_sink", "read_gtfs_text_quoted", "stage_table_day", "merge_staged",
-    "convert_staged", "latest_partition_on_disk",
+    "convert_staged", "latest_partition_on_disk", "nested_endpoint",
 }
 
 
