@@ -2,11 +2,12 @@
 
 Layout of one table
     days/version=<write>/partition_date=<day>/    the rows of a day as one write left them
-    commits/version=<write>/                      the days that the write replaced, written last
+    commits/<write>~<day>, commits/<write>~all    an empty file, made last: what the write replaced
 
 A write never touches a folder that a reader may have listed: the day it replaces stays in force until
 the commit is there, and a write that dies half way leaves the table as it was. Scans take the list
-of folders in force from the commits, so that no folder of the table is listed but those.
+of folders in force from the names of the commits: one listing tells them, and one more the days of the
+last write of the whole table. No Spark job reads or writes them.
 """
 
 from __future__ import annotations
@@ -14,16 +15,14 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.schemas import PARTITION_COLUMN
 from headway.sources.tables import partition_values
 
 VERSION = "version"
-COMMIT = "day string, whole boolean"
+ALL = "all"
 
 
 @dataclass(frozen=True)
@@ -34,27 +33,29 @@ class InForce:
     days: dict[str, str]
 
 
-def in_force(spark: SparkSession, path: str) -> InForce | None:
+def in_force(spark: SparkSession, path: str, partition: str = PARTITION_COLUMN) -> InForce | None:
     """What the commits name; None for a table without any.
 
-    A write of the whole table puts all earlier ones out of force. The driver sees a row per day.
+    A write of the whole table puts all earlier ones out of force. Newer writes have greater names.
     """
-    try:
-        commits = spark.read.schema(COMMIT).parquet(f"{path}/commits")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    commits = sorted(tuple(name.split("~", 1)) for name in _commits(spark, path))
+    if not commits:
         return None
-    newest = F.max(F.struct(VERSION, "whole")).alias("newest")
-    wholes = F.max(F.when(F.col("whole"), F.col(VERSION))).alias("whole")
-    found = {r.day: r for r in commits.groupBy("day").agg(newest, wholes).collect()}
-    if not found:
-        return None
-    # Every commit has a marker row without a day.
-    marker = found.pop(None)
-    since = marker.whole or ""
-    days = {day: r.newest.version for day, r in found.items() if r.newest.version >= since}
-    return InForce(marker.newest.version, dict(sorted(days.items())))
+    days: dict[str, str] = {}
+    wholes = [i for i, (_, day) in enumerate(commits) if day == ALL]
+    if wholes:
+        whole = commits[wholes[-1]][0]
+        days = dict.fromkeys(partition_values(spark, f"{path}/days/{VERSION}={whole}", partition), whole)
+    days |= {day: version for version, day in commits[wholes[-1] + 1 if wholes else 0 :]}
+    return InForce(commits[-1][0], dict(sorted(days.items())))
+
+
+def _commits(spark: SparkSession, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return [n for n in (status.getPath().getName() for status in files.listStatus(folder)) if "~" in n]
 
 
 def is_versioned(spark: SparkSession, path: str) -> bool:
@@ -65,7 +66,7 @@ def replace_day_at_once(df: DataFrame, path: str, day: str, partition: str = PAR
     """Make the rows of `df`, all of `day`, that day of the table. Without rows the day becomes empty."""
     version = _next_version(df.sparkSession, path)
     df.drop(partition).write.parquet(f"{path}/days/{VERSION}={version}/{partition}={day}")
-    _commit(df.sparkSession, path, version, [day], whole=False)
+    _commit(df.sparkSession, path, version, day)
 
 
 def replace_all_at_once(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
@@ -75,12 +76,12 @@ def replace_all_at_once(df: DataFrame, path: str, partition: str = PARTITION_COL
     folder = f"{path}/days/{VERSION}={version}"
     # Adaptive execution splits a day of many rows over tasks, and gives a small one a single file.
     df.hint("rebalance", partition).write.partitionBy(partition).parquet(folder)
-    _commit(spark, path, version, partition_values(spark, folder, partition), whole=True)
+    _commit(spark, path, version, ALL)
 
 
 def folders_in_force(spark: SparkSession, path: str, partition: str = PARTITION_COLUMN) -> dict[str, str]:
     """Day, as folders are named by, to the folder with its rows; days in order."""
-    state = in_force(spark, path)
+    state = in_force(spark, path, partition)
     if state is None:
         return {}
     return {day: f"{path}/days/{VERSION}={v}/{partition}={day}" for day, v in state.days.items()}
@@ -117,8 +118,7 @@ def _next_version(spark: SparkSession, path: str) -> str:
     return f"v{number:012d}-{uuid.uuid4().hex[:8]}"
 
 
-def _commit(spark: SparkSession, path: str, version: str, days: list[str], whole: bool) -> None:
-    # The marker row comes first.
-    marks = f"explode(array({', '.join(['cast(null as string)', *map(repr, days)])}))"
-    rows = spark.range(1).selectExpr(f"{marks} day", f"{str(whole).lower()} whole")
-    rows.coalesce(1).write.parquet(f"{path}/commits/{VERSION}={version}")
+def _commit(spark: SparkSession, path: str, version: str, day: str) -> None:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits/{version}~{day}")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(marker):
+        raise FileExistsError(f"{marker} is there already")
