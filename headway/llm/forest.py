@@ -6,19 +6,23 @@ to meet in some node with the target recall; they come from the threshold, the n
 recall, not from the data (banded LSH, no adaptive descent). Whatever meets is then verified exactly.
 
 How it holds up
-- Texts with equal shingle sets are one set from the start; only their number is carried on.
+- Rows with equal shingle sets are one set from the start; only their number is carried on. Sets are told
+  apart by a number of their own, never by an id, which rows may share.
 - Node members are tied to the least member, never listed as pairs. The sets that hang together that
   way are compared in cells: pairs of hash-dealt blocks of `block` sets, each cell a task of bounded
   size. A cell counts the links of each set and ties what is linked; no pair leaves it.
-- Shingles are taken again from the texts of those sets only, and go once to each cell.
+- Shingles are taken again from one text of each of those sets, found by its id and the hash of the text, and
+  go once to each cell. Rows that repeat that text under that id are combined before the shuffle.
 
 Defined results
 - A document's words are lower-cased (A-Z) runs without ASCII white space. Fewer words than a shingle
   has: all of them are its one shingle. Shingles are compared as 64-bit hashes.
-- class_id is the least id of all documents that links lead to; n_links counts the other documents
-  whose similarity to this one is at least the threshold, copies included.
+- Each row is a document, also one whose id or whole content another has. class_id is the least id of all
+  documents that links lead to; n_links counts the other documents whose similarity to this one is at
+  least the threshold, copies included.
 - Null text, or no words: a class of its own, no links. Null id: null class, no links; takes no part.
-- Rows that share an id count as one document for its class, and as so many copies for links.
+- Rows that share an id and have unlike texts are in different classes, of which two can have the same
+  class_id; `class_key`, on demand, tells these apart.
 - Empty table: no rows. Other columns are dropped.
 """
 
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.components import components
@@ -90,7 +94,7 @@ def nodes(sets: np.ndarray, starts: np.ndarray, depths: list[int]) -> np.ndarray
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str, width: int, depths: list[int]) -> DataFrame:
-    """One row per document: id, key of its shingle set (null: no words), trie nodes."""
+    """One row per document: id, hash of the text, key of its shingle set (null: no words), trie nodes."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", PIECE):
@@ -107,11 +111,22 @@ def sign(docs: DataFrame, id_col: str, text_col: str, width: int, depths: list[i
             key = [raw[16 * i : 16 * i + 16] if f else None for i, f in enumerate(filled.tolist())]
             lists = list_array(found.ravel().view(np.int64), segments(filled.astype(np.int64) * len(depths)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(key, pa.binary()), lists], ["doc_id", "set_key", "nodes"]
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(key, pa.binary()), lists],
+                ["doc_id", "text_key", "set_key", "nodes"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(signed, "doc_id long, set_key binary, nodes array<long>")
+    rows = keyed(docs, id_col, text_col)
+    return rows.mapInArrow(signed, "doc_id long, text_key long, set_key binary, nodes array<long>")
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("text_key"), text.cast("string").alias("text"))
 
 
 def _overlaps(lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -179,14 +194,19 @@ def near_duplicates(
     deepest: int = 8,
     recall: float = 0.9999,
     block: int = 256,
+    keys: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links."""
+    """One row per document: doc_id, class_id, n_links.
+
+    keys: also text_key, the hash of the text, and class_key, a number of the class (null: no words).
+    """
     depths = prefix_depths(threshold, trees, deepest, recall)
     signed = settle(sign(docs, id_col, text_col, width, depths), "forest-signed")
     sets = settle(
         signed.where("doc_id is not null and set_key is not null")
         .groupBy("set_key")
-        .agg(F.count("*").alias("copies"), F.min("doc_id").alias("id"), F.first("nodes").alias("nodes")),
+        .agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("nodes").alias("nodes"))
+        .select(F.monotonically_increasing_id().alias("id"), "set_key", "copies", "least.*", "nodes"),
         "forest-sets",
     )
     members = sets.select("id", F.explode("nodes").alias("node"))
@@ -207,7 +227,7 @@ def near_duplicates(
     placed = (
         meeting.join(blocks, "component")
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .join(sets.select("id", "set_key", "copies"), "id")
+        .join(sets.select("id", "copies", "doc_id", "text_key"), "id")
     )
     placed = settle(placed, "forest-placed")
 
@@ -220,10 +240,11 @@ def near_duplicates(
                 [*columns, lists], ["id", "component", "blocks", "block", "copies", "shingles"]
             )
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     held = (
-        texts.join(placed, "id")
-        .select("id", "text", "component", "blocks", "block", "copies")
+        keyed(docs, id_col, text_col)
+        .join(placed, ["doc_id", "text_key"])
+        .groupBy("id", "component", "blocks", "block", "copies")
+        .agg(F.min("text").alias("text"))
         .mapInArrow(with_shingles, "id long, component long, blocks int, block int, copies long, shingles array<long>")
     )
     held = held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
@@ -245,19 +266,25 @@ def near_duplicates(
     )
     classes = components(verified.select(F.col("id").alias("u"), F.col("hub").alias("v")))
     links = verified.groupBy("id").agg(F.sum("links").alias("links"))
+    tied = sets.select("id", "set_key", "copies", "doc_id").join(classes, "id", "left")
+    least = settle(
+        tied.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("class")), "forest-least"
+    )
     by_set = settle(
-        sets.select("id", "set_key", "copies")
-        .join(links, "id", "left")
-        .join(classes, "id", "left")
+        tied.join(links, "id", "left")
+        .join(least, "component", "left")
         .select(
             "set_key",
-            F.coalesce("component", "id").alias("class"),
+            F.coalesce("class", "doc_id").alias("class"),
+            F.coalesce("component", "id").alias("class_key"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         ),
         "forest-classes",
     )
-    return signed.select("doc_id", "set_key").join(by_set, "set_key", "left").select(
+    more = ["text_key", "class_key"] if keys else []
+    return signed.select("doc_id", "text_key", "set_key").join(by_set, "set_key", "left").select(
         "doc_id",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+        *more,
     )

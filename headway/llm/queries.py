@@ -131,33 +131,36 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# Rows are numbered: each is a document, also one whose id another row has.
 ORACLES["op5_jaccard_join"] = r"""
-with recursive words as (
-    select doc_id, [w for w in string_split_regex(
+with recursive numbered as materialized (
+    select row_number() over () as r, doc_id, text from documents
+), words as (
+    select r, [w for w in string_split_regex(
                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[ \t\n\x0B\f\r]+') if w <> ''] as w
-    from documents
+    from numbered where doc_id is not null
 ), shingles as (
-    select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ')
+    select distinct r, case when len(w) < 5 then array_to_string(w, ' ')
                else array_to_string(list_slice(w, i, i + 4), ' ') end as s
-    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
+    from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
 ), sizes as (
-    select doc_id, count(*) as n from shingles group by doc_id
+    select r, count(*) as n from shingles group by r
 ), common as (
-    select a.doc_id as a, b.doc_id as b, count(*) as n
-    from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+    select a.r as a, b.r as b, count(*) as n
+    from shingles a join shingles b on a.s = b.s and a.r <> b.r group by 1, 2
 ), links as (
-    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    select a, b from common join sizes x on x.r = a join sizes y on y.r = b
     where common.n / (x.n + y.n - common.n) >= 0.8
 ), reached(a, b) as (
-    select doc_id, doc_id from documents
+    select r, r from numbered
     union
     select r.a, l.b from reached r join links l on r.b = l.a
 ), classes as (
-    select a, min(b) as class_id from reached group by a
+    select a, min(doc_id) as class_id from reached join numbered on r = b group by a
 )
-select d.doc_id, c.class_id, cast((select count(*) from links l where l.a = d.doc_id) as bigint) as n_links
-from documents d join classes c on c.a = d.doc_id
+select d.doc_id, c.class_id, cast((select count(*) from links l where l.a = d.r) as bigint) as n_links
+from numbered d join classes c on c.a = d.r
 """
 
 

@@ -2,8 +2,11 @@
 
 import random
 
+import duckdb
+
 from headway.llm import forest
 from headway.llm.components import components
+from headway.llm.queries import ORACLES
 from test_pipeline import brute_classes, shingles
 
 
@@ -58,6 +61,20 @@ def test_edges(spark):
     assert forest.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id(spark):
+    rng = random.Random(7)
+    a, b, c = ([f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3))
+    rows = [(5, a), (5, b), (2, [*a[:-1], "x"]), (3, [*b[:-1], "y"]), (5, a), (5, a), (1, c), (1, [*c, "z"]), (1, b)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in forest.near_duplicates(docs).collect())
+    assert got == sorted([(5, 2, 3), (5, 2, 3), (5, 2, 3), (2, 2, 3), (5, 1, 2), (3, 1, 2), (1, 1, 2), (1, 1, 1), (1, 1, 1)])
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert sorted(con.execute(ORACLES["op5_jaccard_join"]).fetchall()) == got
+    keyed = forest.near_duplicates(docs, keys=True).collect()
+    assert {len({r.class_key for r in keyed if r.class_id == i}) for i in (1, 2)} == {1, 2}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(500, 500)]
