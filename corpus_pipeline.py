@@ -7,8 +7,9 @@
 5. bpe: the texts as token ids.
 
 All stages but the last return the columns of documents. Rows with a null id are never taken for near
-duplicates; of rows that share an id, the first by text and then by the other columns stays. Null texts
-have no language and go in the first stage.
+duplicates. Each row is a document: rows that share an id and have unlike texts stay; of rows of one class that
+share its least id the first by text and then by the other columns does. Texts without words are of one
+class for each id. Null texts have no language and go in the first stage.
 """
 
 from __future__ import annotations
@@ -40,12 +41,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    classes = forest.near_duplicates(docs)
-    first = classes.where("doc_id = class_id").select("doc_id").distinct()
-    place = "_".join(["place", *docs.columns])
+    key, cls, place = ("_".join([name, *docs.columns]) for name in ("key", "class", "place"))
+    classes = forest.near_duplicates(docs, keys=True)
+    least = classes.where("doc_id = class_id").select("doc_id", F.col("text_key").alias(key), F.col("class_key").alias(cls))
     others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    order = Window.partitionBy("doc_id").orderBy("text", *others)
-    kept = docs.join(first, "doc_id", "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    order = Window.partitionBy("doc_id", cls).orderBy("text", *others)
+    kept = (
+        docs.withColumn(key, forest.text_key(F.col("text")))
+        .join(least.distinct(), ["doc_id", key])
+        .withColumn(place, F.row_number().over(order))
+        .where(F.col(place) == 1)
+    )
     return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
