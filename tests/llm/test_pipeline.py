@@ -61,6 +61,16 @@ def test_near_duplicates(outputs):
     assert sorted(r.doc_id for r in outputs[2].collect()) == sorted(set(classes.values()))
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark, sf_dir):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, "s", 1), (1, b, "s", 2), (1, a, "s", 3), (2, f"{a} x", "s", 4), (3, f"{b} x", "s", 5), (1, "", "s", 6), (None, a, "s", 7), (None, a, "s", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_key string, class_key long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    kept = [rows[i] for i in (0, 1, 5, 6, 7)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, kept))
+
+
 def test_pii(outputs):
     before = {r.doc_id: r for r in outputs[2].collect()}
     after = {r.doc_id: r for r in outputs[3].collect()}
