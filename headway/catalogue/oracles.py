@@ -60,6 +60,16 @@ def _staged(table: str) -> str:
     )
 
 
+def _content(table: str) -> str:
+    """The sum of 60 bits of each row's MD5, of the values as text; millionths of numbers with a fraction."""
+    values = [
+        f"floor({f.name} * 1000000)::bigint" if f.dataType.simpleString() == "double" else f.name
+        for f in feed_schema(table)
+    ]
+    parts = ", ".join(f"coalesce(cast({v} as varchar), chr(30))" for v in [*values, lineage_column(table)])
+    return f"cast(sum(cast('0x' || substr(md5(concat_ws(chr(31), {parts})), 1, 15) as bigint)) as varchar)"
+
+
 def _merged(entity: str, match_partition: bool = True) -> str:
     feed_key, left_out, renamed = MERGED[entity]
     ours = feed_schema(f"endpoint_{entity}").fieldNames()
@@ -287,10 +297,39 @@ SQL = {
     "schema_on_read": "select * replace (cast(null as bigint) as timepoint) from raw_stop_times",
     "stage_table": _staged("trips"),
     "stage_all": " union all ".join(
-        f"select '{t}' table_name, partition_date, count(*) row_count from ({_staged(t)}) "
-        "group by partition_date"
+        f"select '{t}' table_name, partition_date, count(*) row_count, {_content(t)} content "
+        f"from ({_staged(t)}) group by partition_date"
         for t in STAGED_TABLES
     ),
+    # What the second day's files say; the first day only tells which stops had another name.
+    "catalog_sql": f"""
+        with called as (
+            select trip_id, stop_id, {_seconds("departure_time")} % 86400 leaves
+            from ({_staged("stop_times")}) where partition_date = '2024-01-02'
+        ), departed as (
+            select trip_id, min(leaves) departure from called group by trip_id
+        ), named as ({_merged("stops")}), known as ({_merged("routes")}), ridden as ({_staged("trips")}),
+        ran as (
+            select trip_id, service_id, line_id from ridden natural join (select route_id, line_id, partition_date from known)
+            where partition_date = '2024-01-02'
+        ), lying as (
+            select n.stop_id, n.region_name, exists (
+                       select 1 from named o where o.stop_id = n.stop_id and o.partition_date = '2024-01-01'
+                       and o.stop_name <> n.stop_name) renamed
+            from named n where n.partition_date = '2024-01-02'
+              and try_cast(n.municipality_id as bigint) in (select municipality_id from ({_staged("municipalities")}))
+        ), on_days as (
+            select service_id, cast({_day("cast(date as string)")} as string) stop_event_date, day_type, exception_type,
+                   holiday
+            from ({_staged("calendar_dates")}) where partition_date = '2024-01-02'
+        )
+        select region_name, stop_event_date, count(*) stop_events,
+               count(*) filter (where {PEAK.format("departure")}) peak_events,
+               count(distinct trip_id) trips, count(distinct stop_id) stops, count(distinct line_id) lines,
+               count(distinct case when renamed then stop_id end) renamed_stops,
+               (select count(*) from ridden) staged_trips
+        from called natural join departed natural join ran natural join lying natural join on_days
+        group by region_name, stop_event_date""",
     "fact_partitioned_sink": _schedule(),
     "read_gtfs_text_quoted": f"""
         select trip_id, headsign trip_headsign, route_id, cast(null as bigint) direction_id,

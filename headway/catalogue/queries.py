@@ -29,6 +29,7 @@ from headway.operators.cleaning import (
     nested_to_json,
     normalise_sentinels,
 )
+from headway.operators.digests import portable_digest
 from headway.operators.history import SNAPSHOTS, VALID_FROM, VALID_TO
 from headway.operators.latest import latest_partition, newest_day
 from headway.operators.merge import MERGES, merge_sources
@@ -36,7 +37,7 @@ from headway.operators.quality import contract_violations, not_null_report, uniq
 from headway.plans import analyses, daily, dimensions, facts, rollups, staging_views
 from headway.plans.contracts import contract, not_null_columns
 from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
-from headway.schemas import INGESTED_AT, feed_schema, raw_schema
+from headway.schemas import INGESTED_AT, feed_schema, lineage_column, raw_schema
 from headway.session import scratch_dir
 from headway.sources.fact_tables import write_fact
 from headway.sources.landing import (
@@ -295,7 +296,7 @@ def convert_staged_day_by_day(src: Inputs) -> DataFrame:
 
 @query("stage_all")
 def stage_all_tables(src: Inputs) -> DataFrame:
-    """Every feed table landed and staged; rows per table and day."""
+    """Every feed table landed and staged; rows, and a digest of all their values, per table and day."""
     raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
     in_parallel(
         partial(
@@ -304,13 +305,64 @@ def stage_all_tables(src: Inputs) -> DataFrame:
         for t in staged_tables()
     )
     written = stage_all(src.spark, raw_root, root, _run_at())
-    counts = [
-        read_days(src.spark, path)
-        .groupBy(F.lit(name).alias("table_name"), "partition_date")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        for name, path in written.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    found = []
+    for name, path in written.items():
+        rows = read_days(src.spark, path)
+        content = rows.select(*feed_schema(name).fieldNames(), lineage_column(name)).schema
+        found.append(
+            rows.groupBy(F.lit(name).alias("table_name"), "partition_date").agg(
+                F.count(F.lit(1)).alias("row_count"), portable_digest(content).alias("content")
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def _land_day(src: Inputs, landing: str, day: str) -> None:
+    """One extraction day as it comes from outside: JSON documents of the API, CSV members of the feed."""
+    def land_one(t: StagedTable) -> None:
+        rows = src(f"raw_{t.schema}").where(F.col("partition_date") == day)
+        row = [F.col(c) for c in feed_schema(t.schema).fieldNames()]
+        if t.source == "endpoint":
+            # A document of one row a line, which Spark splits over many tasks.
+            rows.select(F.to_json(F.array(F.struct(*row))).alias("value")).write.text(f"{landing}/{t.entity}")
+        else:
+            rows.select(row).write.option("header", True).csv(f"{landing}/gtfs/{t.entity}.txt")
+
+    in_parallel(partial(land_one, t) for t in staged_tables())
+
+
+@query("catalog_sql")
+def catalog_sql(src: Inputs) -> DataFrame:
+    """Two daily runs from landed files to snapshots, then one question in SQL over the catalog's names:
+    what ran in each region and day, and how many of its stops have been renamed."""
+    spark, warehouse = src.spark, scratch_dir(src.spark, "warehouse")
+    for date in DAYS[:2]:
+        landing = scratch_dir(spark, "landing")
+        _land_day(src, landing, date.strftime("%Y%m%d"))
+        run_at = dt.datetime.combine(date, dt.time(4), dt.timezone.utc)
+        daily.run(spark, landing, warehouse, date, run_at, multi_line=False)
+    names = daily.open_catalog(spark, warehouse)
+    answer = spark.sql(
+        """
+        select e.region_name, cast(e.stop_event_date as string) stop_event_date, count(*) stop_events,
+               count_if(t.is_peak) peak_events, count(distinct e.trip_id) trips,
+               count(distinct e.stop_id) stops, count(distinct r.line_id) lines,
+               count(distinct h.stop_id) renamed_stops,
+               (select count(*) from staging_trips) staged_trips
+        from fact_stop_event e
+        join fact_trip_schedule t on t.trip_id = e.trip_id and t.trip_date = e.stop_event_date
+        join dim_trip d on d.trip_id = e.trip_id
+        join stg_routes r on r.route_id = d.route_id
+        left join (select distinct stop_id from snapshot_dim_stop where dbt_valid_to is not null) h
+               on h.stop_id = e.stop_id
+        group by e.region_name, e.stop_event_date"""
+    )
+    written = _written(src, answer)
+    # The names are this query's own; the files stay.
+    for name in names:
+        if not spark.catalog.dropTempView(name):
+            spark.sql(f"drop table if exists {name}")
+    return written
 
 
 @query("fact_partitioned_sink")

@@ -1,4 +1,5 @@
-"""Order-independent digests of rows by hash bucket of a key: which part of a table has changed."""
+"""Order-independent digests of rows: by hash bucket of a key, which part of a table has changed; over a
+group, in a form that other SQL engines compute as well, whether two stores hold the same rows."""
 
 from __future__ import annotations
 
@@ -7,6 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
+
+#: Between the values of a row, and in place of NULL, in the text that portable digests are taken of.
+SEPARATOR, NULL_TEXT = "\x1f", "\x1e"
+#: Steps of a number with a fraction that a portable digest tells apart.
+FRACTION = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -77,3 +84,18 @@ def folded(digests: dict[int, Digest], buckets: int) -> dict[int, Digest]:
     for bucket, digest in digests.items():
         out[bucket % buckets] = out.get(bucket % buckets, Digest()) + digest
     return out
+
+
+def portable_digest(schema: StructType) -> Column:
+    """Aggregate: the sum, as text, of 60 bits of each row's MD5. Columns are text, whole numbers,
+    booleans or numbers with a fraction, of which millionths count, as engines print these differently.
+
+    Rows that repeat count each time. A sum is combined map-side: one number a group and task is shuffled.
+    """
+    values = [
+        F.floor(F.col(f"`{f.name}`") * FRACTION) if isinstance(f.dataType, DoubleType) else F.col(f"`{f.name}`")
+        for f in schema
+    ]
+    row = F.concat_ws(SEPARATOR, *(F.coalesce(v.cast("string"), F.lit(NULL_TEXT)) for v in values))
+    bits = F.conv(F.substring(F.md5(row), 1, 15), 16, 10)
+    return F.sum(bits.cast("decimal(38,0)")).cast("string")
