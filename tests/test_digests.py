@@ -1,6 +1,7 @@
 """Digests that other engines compute as well: same rows, same text; any other value, another."""
 
 import duckdb
+
 from headway.operators.digests import portable_digest
 
 SCHEMA = "name string, n bigint, x double, flag boolean"
