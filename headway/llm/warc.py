@@ -78,8 +78,8 @@ def with_revisits(records: DataFrame, revisit_bytes: int) -> DataFrame:
     repeated = (
         records.where(large)
         .groupBy("digest", "payload_bytes")
-        .agg(keeper.alias("keeper"), F.min("record_id").alias("least"))
-        .where(F.col("least") != F.col("keeper.record"))
+        .agg(keeper.alias("keeper"), F.min("record_id").alias("least"), F.max("record_id").alias("greatest"))
+        .where(F.col("least") != F.col("greatest"))
         .select("digest", "payload_bytes", F.col("keeper.record").alias("holder"), F.col("keeper.id").alias("holder_id"))
     )
     repeated = settle(repeated, "warc-repeated")

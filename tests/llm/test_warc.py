@@ -88,3 +88,12 @@ def test_the_query_has_a_row_for_each_page_row(spark, tmp_path):
     names = [c[0] for c in theirs.description]
     assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, theirs.fetchall()))
     assert got.count() == len(rows) and got.where("refers_to = 2 and page_id = 1").count() == 3
+
+
+def test_of_two_equal_payloads_one_is_a_revisit(spark):
+    """Whichever of the two record ids, which are hashes, is the smaller one."""
+    rows = [(2 * pair + i, f"u{i}", f"{pair} " * 600) for pair in range(20) for i in range(2)]
+    out = warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect()
+    ids = {r.record_id: r.page_id for r in out}
+    found = sorted((r.page_id, r.record_type, ids.get(r.refers_to)) for r in out)
+    assert found == [(i, *(("response", None) if i % 2 else ("revisit", i + 1))) for i in range(40)]
