@@ -43,7 +43,7 @@ from headway.operators.history import (
     first_snapshot,
 )
 from headway.operators.quality import repeated_values
-from headway.sources.tables import in_parallel
+from headway.sources.tables import PACKED, in_parallel
 
 STATE = "state"
 VERSION = "version"
@@ -243,7 +243,7 @@ def _write(after: DataFrame, path: str, key: str, buckets: int) -> bool:
     if buckets > 1:
         # A bucket is a few large files, not one from every task.
         rows = rows.hint("rebalance", STATE, BUCKET)
-    rows.write.partitionBy(STATE, BUCKET).parquet(path)
+    rows.write.options(**PACKED).partitionBy(STATE, BUCKET).parquet(path)
     return closed.get["rows"] > 0
 
 

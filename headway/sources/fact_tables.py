@@ -6,7 +6,8 @@ is made, and gives a day as many buckets as its bytes take files. `dealt` then l
 are before the calendar out by bucket of the key, one bucket to a task, with the bucketing hash of
 Spark's tables: after the calendar a task still holds one bucket, and writes one file for each of its
 days. Where the buckets alone would leave cores idle, the days are dealt to slices, and a task holds one
-bucket and one slice. The multiplied rows are neither shuffled nor sorted.
+bucket and one slice; a row goes to the slices that its service runs in. The multiplied rows are neither
+shuffled nor sorted.
 
 The tables are in the catalog with their buckets, so that later joins and groups on the key need no
 exchange. Their folders are those of any table partitioned by day.
@@ -21,10 +22,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.tables import partition_values
+from headway.session import scratch_dir
+from headway.sources.tables import PACKED, partition_values
 
 FILE_BYTES = 128 * 1024 * 1024
-SLICE = "_slice"
+#: Files that a task keeps open at a time. Without such a number Spark sorts the rows of a task by day, after the
+#: calendar has multiplied them.
+OPEN_FILES = 400
+OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+SLICE, SLICES = "_slice", "_slices"
 
 
 @dataclass(frozen=True)
@@ -59,9 +65,10 @@ def plan_layout(
 def dealt(rows: DataFrame, layout: FactLayout) -> DataFrame:
     """Rows once per slice, each bucket of each slice in a partition of its own, in the order of the key.
 
-    The bucket is that of Spark's bucketed tables.
+    The bucket is that of Spark's bucketed tables. A column SLICES names the slices that a row goes to, all by default.
     """
-    sliced = rows.withColumn(SLICE, F.explode(F.sequence(F.lit(0), F.lit(layout.slices - 1))))
+    slices = F.col(SLICES) if SLICES in rows.columns else F.sequence(F.lit(0), F.lit(layout.slices - 1))
+    sliced = rows.withColumn(SLICE, F.explode(slices)).drop(SLICES)
     place = F.col(SLICE) * layout.buckets + F.pmod(F.hash(layout.key), F.lit(layout.buckets))
     partitions = layout.buckets * layout.slices
     return sliced.repartitionById(partitions, place.cast("int")).sortWithinPartitions(layout.key)
@@ -76,14 +83,26 @@ def on_days(rows: DataFrame, days: DataFrame, layout: FactLayout | None = None)
     if layout is None:
         return rows.join(days, "service_id")
     slice_of = F.pmod(F.datediff("service_date", F.lit("1970-01-01").cast("date")), F.lit(layout.slices))
-    return dealt(rows, layout).join(days.withColumn(SLICE, slice_of), ["service_id", SLICE]).drop(SLICE)
+    sliced = days.withColumn(SLICE, slice_of)
+    if layout.slices > 1:
+        # Written: Spark then knows that the services are few, and broadcasts them.
+        path = scratch_dir(days.sparkSession, "service-slices")
+        sliced.groupBy("service_id").agg(F.collect_set(SLICE).alias(SLICES)).write.parquet(path)
+        rows = rows.join(days.sparkSession.read.parquet(path), "service_id")
+    return dealt(rows, layout).join(sliced, ["service_id", SLICE]).drop(SLICE)
 
 
 def write_fact(df: DataFrame, name: str, path: str, day: str, layout: FactLayout) -> None:
-    """Write a fact, partitioned by day and bucketed, and enter it in the catalog as `name`."""
+    """Write a fact, partitioned by day and bucketed, and enter it in the catalog as `name`.
+
+    Has the session keep the files of a task open, unless it says how many: rows are then written as they come.
+    """
     spark = df.sparkSession
+    if int(spark.conf.get(OPEN_FILES_SETTING)) == 0:
+        spark.conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
     (
         df.write.mode("overwrite")
+        .options(**PACKED)
         .option("partitionOverwriteMode", "static")
         .option("path", path)
         .partitionBy(day)

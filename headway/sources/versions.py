@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from headway.schemas import PARTITION_COLUMN
-from headway.sources.tables import partition_values
+from headway.sources.tables import PACKED, partition_values
 
 VERSION = "version"
 ALL = "all"
@@ -65,7 +65,7 @@ def is_versioned(spark: SparkSession, path: str) -> bool:
 def replace_day_at_once(df: DataFrame, path: str, day: str, partition: str = PARTITION_COLUMN) -> None:
     """Make the rows of `df`, all of `day`, that day of the table. Without rows the day becomes empty."""
     version = _next_version(df.sparkSession, path)
-    df.drop(partition).write.parquet(f"{path}/days/{VERSION}={version}/{partition}={day}")
+    df.drop(partition).write.options(**PACKED).parquet(f"{path}/days/{VERSION}={version}/{partition}={day}")
     _commit(df.sparkSession, path, version, day)
 
 
@@ -75,7 +75,7 @@ def replace_all_at_once(df: DataFrame, path: str, partition: str = PARTITION_COL
     version = _next_version(spark, path)
     folder = f"{path}/days/{VERSION}={version}"
     # Adaptive execution splits a day of many rows over tasks, and gives a small one a single file.
-    df.hint("rebalance", partition).write.partitionBy(partition).parquet(folder)
+    df.hint("rebalance", partition).write.options(**PACKED).partitionBy(partition).parquet(folder)
     _commit(spark, path, version, ALL)
 
 

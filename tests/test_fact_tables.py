@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from headway.catalogue.inputs import Inputs
 from headway.plans import daily, rollups
 from headway.plans.facts import fact_stop_event, fact_trip_schedule
-from headway.sources.fact_tables import FactLayout, dealt, is_laid_out, open_fact, plan_layout, write_fact
+from headway.sources.fact_tables import FactLayout, dealt, is_laid_out, on_days, open_fact, plan_layout, write_fact
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +109,31 @@ def test_every_bucket_lies_in_one_partition(spark):
     placed = dealt(df, FactLayout("trip_id", 4, 3)).withColumn("p", F.spark_partition_id())
     seen = placed.groupBy("p").agg(F.countDistinct(F.pmod(F.hash("trip_id"), F.lit(4)), "_slice").alias("n"), F.count("*").alias("rows"))
     assert [r.n for r in seen.collect()] == [1] * 12 and placed.count() == 3000
+
+
+def test_rows_go_to_the_slices_their_service_runs_in(spark):
+    rows = spark.createDataFrame([("a", "S"), ("b", "T"), ("c", "never"), ("d", None)], "trip_id string, service_id string")
+    days = spark.createDataFrame([("S", 0), ("S", 7), ("T", 1), ("T", 2), (None, 3)], "service_id string, n int")
+    days = days.select("service_id", F.date_add(F.lit("1970-01-01").cast("date"), F.col("n")).alias("service_date"))
+    made = on_days(rows, days, FactLayout("trip_id", 2, 7))
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, on_days(rows, days).select(made.columns).collect()))
+    slices = spark.createDataFrame([("a", [0]), ("b", [1, 2]), ("c", [])], "trip_id string, _slices array<int>")
+    placed = dealt(slices, FactLayout("trip_id", 2, 7)).select("trip_id", "_slice").collect()
+    assert sorted(map(tuple, placed)) == [("a", 0), ("b", 1), ("b", 2)]
+
+
+def test_a_fact_is_written_packed_and_unsorted(spark, src, tmp_path):
+    import pyarrow.parquet as pq
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    layout = FactLayout("trip_id", 2, 2)
+    try:
+        write_fact(schedule(src, layout), "packed_fact", str(tmp_path / "f"), "trip_date", layout)
+        assert int(spark.conf.get(setting)) > 0
+    finally:
+        spark.conf.set(setting, before)
+        spark.sql("drop table if exists packed_fact")
+    parts = [pq.read_metadata(f) for files in files_of(tmp_path / "f").values() for f in files]
+    assert parts and {m.row_group(0).column(0).compression for m in parts} == {"ZSTD"}
