@@ -16,6 +16,10 @@ from pyspark.sql.types import StructType
 
 from headway.schemas import feed_schema
 
+#: Tables whose rows become several rows of some seventy columns: dealt to tasks by so many bytes of their files
+#: before, as what a task then holds is a hundred times what it reads.
+WIDENED, WIDENED_BYTES = ("customer", "supplier"), 1024 * 1024
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 
 # Unnesting is the one construct the two dialects spell differently.
@@ -376,6 +380,11 @@ def input_ctes(query: str, dialect: str, tables: dict[str, str]) -> str:
 _LAYOUTS: dict[str, StructType] = {}
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 class Inputs:
     """The derived inputs over the parquet files of one folder, as DataFrames."""
 
@@ -387,7 +396,11 @@ class Inputs:
         path = f"{self.sf_dir}/{name}.parquet"
         if path not in _LAYOUTS:
             _LAYOUTS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_LAYOUTS[path]).parquet(path)
+        rows = self.spark.read.schema(_LAYOUTS[path]).parquet(path)
+        if name in WIDENED:
+            pieces = _bytes(self.spark, path) // WIDENED_BYTES
+            rows = rows.repartition(pieces) if pieces > 1 else rows
+        return rows
 
     def __call__(self, name: str) -> DataFrame:
         return self.query(f"select * from {name}")

@@ -161,3 +161,14 @@ def test_entry(spark):
     assert set(QUERIES) == set(oracle_sql())
     assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     json.dumps(entry.oracle_sql())
+
+
+def test_rows_that_inputs_widen_are_dealt_to_tasks_by_size(spark, sf_dir, monkeypatch):
+    from headway.catalogue import inputs
+
+    whole = inputs.Inputs(spark, sf_dir)("raw_endpoint_routes")
+    monkeypatch.setattr(inputs, "WIDENED_BYTES", 500)
+    pieces = inputs.Inputs(spark, sf_dir).table("customer").rdd.getNumPartitions()
+    assert pieces > 1
+    dealt = inputs.Inputs(spark, sf_dir)("raw_endpoint_routes")
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
