@@ -260,3 +260,20 @@ def test_as_of_leaves_out_runs_that_had_closed_before(spark, tmp_path):
         assert summary(got) == summary(as_of(whole, F.lit(moment).cast("timestamp")))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(version" in plan
+
+
+def test_ids_of_versions_in_several_buckets_and_packed_files(spark, tmp_path):
+    """Ids are made after the rows were gathered by bucket: those of their key and start, held ones as they were."""
+    import pyarrow.parquet as pq
+
+    root = str(tmp_path)
+    take_snapshot(spark, root, SPEC, many(spark, 200), T[0], rows_per_bucket=50)
+    first = {r.id: r[VERSION_ID] for r in read_snapshot(spark, root, SPEC).collect()}
+    assert first == {r.id: r[VERSION_ID] for r in first_snapshot(many(spark, 200), "id", at(0)).collect()}
+    take_snapshot(spark, root, SPEC, many(spark, 201, 1, (7,)), T[1], rows_per_bucket=50)
+    rows = read_snapshot(spark, root, SPEC).collect()
+    assert len({r[VERSION_ID] for r in rows}) == len(rows) == 202
+    assert {r.id: r[VERSION_ID] for r in rows if day(r[VALID_FROM]) == 1} == first
+    assert {r.id for r in rows if day(r[VALID_FROM]) == 2} == {7, 200}
+    files = [f for f in tmp_path.rglob("*.parquet") if "/versions/" in str(f)]
+    assert {pq.read_metadata(f).row_group(0).column(0).compression for f in files} == {"ZSTD"}
