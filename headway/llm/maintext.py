@@ -6,16 +6,19 @@ be the article (menus, headers, footers, sidebars, notices, adverts, forms, comm
 1 open, 2 the page's main part, 3 an article. Candidates are the blocks of the page's highest level.
 
 Host suffix array. A page has two token streams, the words of its candidates and those of all its other
-blocks. Suffixes begin where blocks do, or 8 words before a block ends (a sparse suffix array:
-boilerplate is put in by whole blocks), and are told apart by prefixes of 8, 16, 32, ... words, each as
-a hash, as in prefix doubling, and up to the end of their block. All pages of a host put their suffixes
-together: equal prefixes come next to each other by a shuffle on host and prefix, and
-are combined in the tasks before it, so that a host with any share of the pages is spread over all
-tasks. A prefix is a repeat if distinct pages have it; pages with the same longest candidate block, or the
-two longest, are copies of one article and count once. Open candidates that repeats cover by half or more
-are boilerplate and go. Blocks of a marked article are trusted further, as articles quote each other and
-adverts quote articles: they go where half of the host's articles, five at least, have them. A page that
-would lose everything is a copy of others and keeps its candidates.
+blocks. A suffix begins at every word of both, whatever the blocks, and is told apart by the hash of its
+first 8 words: what distinct pages share, 8 words or more, is covered by the suffixes that begin in it, so
+that longer prefixes would add nothing. All pages of a host put their suffixes together: equal prefixes
+come next to each other by a shuffle on host and prefix, and are combined in the tasks before it, so that a
+host with any share of the pages is spread over all tasks. A prefix is a repeat if distinct pages have it;
+pages with the same longest candidate block, or the two longest, are copies of one article and count once.
+Open candidates that repeats cover whole, or those within the block by half or more, are boilerplate and go:
+a few words that follow a repeat of the block before are none. Blocks of a marked article are trusted
+further, as articles quote each other and adverts quote articles: they go where half of the host's articles,
+five at least, have them. A page that would lose everything is a copy of others and keeps its candidates.
+
+Only open candidates are held against repeats. The suffixes of whatever else a host's pages hold are therefore
+made for hosts with open candidates alone, by a second reading of their pages.
 
 Defined results
 - Block texts have their character references decoded (once), white space as single spaces, no ends;
@@ -32,9 +35,10 @@ from __future__ import annotations
 
 import html as references
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, pairwise
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -94,6 +98,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+SPACE = re.compile(" ")
 HOST = re.compile(r"\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 TELLING = re.compile(r"class|id|role|itemprop|hidden|style", re.I)
 
@@ -225,103 +230,153 @@ def hashed(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _windows(texts: list[str], long: int) -> Iterator[tuple[str, int, int]]:
-    """(prefix, first word, words) of the suffixes of a stream that begin with a block, and of those that
-    have `long` words to the end of a block."""
-    words, starts = [], []
-    for text in texts:
-        starts.append(len(words))
-        words += text.split(" ")
-    seen = set()
-    for start, end in pairwise([*starts, len(words)]):
-        depths = [long]
-        while depths[-1] * 2 <= end - start:
-            depths.append(depths[-1] * 2)
-        spans = {(start, start + d) for d in depths} | {(end - long, end)}
-        if end - start >= long:
-            spans.add((start, end))
-        for span in sorted(spans - seen):
-            if span[0] >= 0 and span[1] <= len(words):
-                yield " ".join(words[slice(*span)]), span[0], span[1] - span[0]
-        seen = spans
+def _windows(texts: list[str], long: int) -> Iterator[int]:
+    """Hashes of the first `long` words of the suffixes of a stream, one for each word that has so many left."""
+    stream = " ".join(texts)
+    starts = [0, *(m.end() for m in SPACE.finditer(stream))]
+    ends = [*(start - 1 for start in starts[1:]), len(stream)]
+    # Fewer words: no pairs.
+    for start, end in zip(starts, ends[long - 1 :], strict=False):
+        yield hashed(stream[start:end])
 
 
-def suffixes(blocks: list[tuple[int, str, bool]], long: int = LONG) -> Iterator[tuple[int, int, int, int]]:
-    """(hash of a prefix, level of its place, first word, words) of the suffixes of a page's two streams,
-    that of the candidates and that of all other blocks.
-
-    Candidates of level MAIN and ARTICLE count as whole blocks only. First words are those of the stream.
-    """
+def own_suffixes(blocks: list[tuple[int, str, bool]], long: int = LONG) -> Iterator[tuple[int, int, int, list[int]]]:
+    """(level, first word, words, hashes) of the candidates: those of level OPEN have a suffix for each word,
+    whose first words follow on each other; of marked articles whole blocks count, one at a time."""
     chosen = candidates(blocks)
     level = blocks[chosen[0]][0] if chosen else OUTSIDE
-    if level > OPEN:
-        at = 0
-        for i in chosen:
-            n = blocks[i][1].count(" ") + 1
-            if n >= long:
-                yield hashed(blocks[i][1]), level, at, n
-            at += n
-    else:
-        for prefix, at, n in _windows([blocks[i][1] for i in chosen], long):
-            yield hashed(prefix), OPEN, at, n
+    if level == OPEN:
+        found = list(_windows([blocks[i][1] for i in chosen], long))
+        if found:
+            yield OPEN, 0, long, found
+        return
+    at = 0
+    for i in chosen:
+        n = blocks[i][1].count(" ") + 1
+        if n >= long:
+            yield level, at, n, [hashed(blocks[i][1])]
+        at += n
+
+
+def other_suffixes(blocks: list[tuple[int, str, bool]], long: int = LONG) -> Iterator[int]:
+    """Hashes of the suffixes of what is not held against repeats: blocks that are no candidates, and marked articles."""
+    chosen = candidates(blocks)
     within = set(chosen)
-    for prefix, at, n in _windows([text for i, (_, text, _) in enumerate(blocks) if i not in within], long):
-        yield hashed(prefix), OUTSIDE, at, n
+    yield from _windows([text for i, (_, text, _) in enumerate(blocks) if i not in within], long)
+    if chosen and blocks[chosen[0]][0] > OPEN:
+        yield from _windows([blocks[i][1] for i in chosen], long)
+
+
+def suffixes(blocks: list[tuple[int, str, bool]], long: int = LONG) -> Iterator[tuple[int, int, int, int]]:
+    """(hash of a prefix, level of its place, first word, words) of the candidates of a page.
+
+    First words are those of the candidates' stream.
+    """
+    for level, first, n, found in own_suffixes(blocks, long):
+        for at, prefix in enumerate(found, first):
+            yield prefix, level, at, n
 
 
 def main_text(blocks: list[tuple[int, str, bool]], repeats: list[tuple[int, int]]) -> str:
-    """The candidates of which repeats (first word, words) cover less than half."""
+    """The candidates that repeats (first word, words) do not cover whole, and of which those within them cover less
+    than half."""
     texts = [blocks[i][1] for i in candidates(blocks)]
     if repeats:
         lengths = [text.count(" ") + 1 for text in texts]
-        steps = [0] * (sum(lengths) + 1)
-        for at, n in repeats:
-            steps[at] += 1
-            steps[at + n] -= 1
-        covered = [c > 0 for c in accumulate(steps)]
         ends = list(accumulate(lengths))
-        kept = [t for t, n, end in zip(texts, lengths, ends, strict=True) if 2 * sum(covered[end - n : end]) < n]
+        steps, inner = [0] * (ends[-1] + 1), [0] * (ends[-1] + 1)
+        for at, n in repeats:
+            for some in (steps, inner) if at + n <= ends[bisect_right(ends, at)] else (steps,):
+                some[at] += 1
+                some[at + n] -= 1
+        covered, within = ([c > 0 for c in accumulate(some)] for some in (steps, inner))
+        kept = [
+            t
+            for t, n, end in zip(texts, lengths, ends, strict=True)
+            if not all(covered[end - n : end]) and 2 * sum(within[end - n : end]) < n
+        ]
         texts = kept or texts
     return "\n\n".join(texts)
 
 
-def _suffix_rows(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def host_hash(url: str | None) -> int:
+    host = HOST.match(url or "")
+    return hashed(host[1].lower()) if host else 0
+
+
+def _read(pages: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """For each batch (page, host, first, second, blocks) of its pages that have text."""
     for batch in pages:
-        rows: list[tuple[int, ...]] = []
+        found = []
         for key, url, page in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if not page:
-                continue
-            host = HOST.match(url or "")
-            host = hashed(host[1].lower()) if host else 0
-            blocks = blocks_of(page)
-            longest = sorted((blocks[i][1] for i in candidates(blocks)), key=lambda t: (-len(t), t))
-            first, second = (hashed(longest[i]) if len(longest) > i else key for i in range(2))
-            rows += [(host, *suffix[:2], first, second, key, *suffix[2:]) for suffix in suffixes(blocks)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], SUFFIX_COLUMNS)
+            if page:
+                blocks = blocks_of(page)
+                longest = sorted((blocks[i][1] for i in candidates(blocks)), key=lambda t: (-len(t), t))
+                first, second = (hashed(longest[i]) if len(longest) > i else key for i in range(2))
+                found.append((key, host_hash(url), first, second, blocks))
+        yield found
+
+
+def _batch(rows: list[tuple], fields: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, fields.values(), strict=True)], list(fields))
+
+
+OWN = "host long, first long, second long, page long, place int, at int, words int, prefixes array<long>"
+OWN_FIELDS = {
+    **dict.fromkeys(("host", "first", "second", "page"), pa.int64()),
+    **dict.fromkeys(("place", "at", "words"), pa.int32()),
+    "prefixes": pa.list_(pa.int64()),
+}
+OTHER = "host long, first long, second long, prefixes array<long>"
+OTHER_FIELDS = {n: OWN_FIELDS[n] for n in ("host", "first", "second", "prefixes")}
+
+
+def _own_rows(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for read in _read(pages):
+        rows = [(host, first, second, key, *own) for key, host, first, second, blocks in read for own in own_suffixes(blocks)]
+        yield _batch(rows, OWN_FIELDS)
+
+
+def _other_rows(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for read in _read(pages):
+        rows = [(host, first, second, list(set(other_suffixes(blocks)))) for _, host, first, second, blocks in read]
+        yield _batch(rows, OTHER_FIELDS)
+
 
+def host_of(url: Column) -> Column:
+    @arrow_udf("long")
+    def hosts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for urls in batches:
+            yield pa.array(map(host_hash, urls.to_pylist()), pa.int64())
 
-SUFFIX_COLUMNS = "host prefix place first second page at words".split()
-SUFFIX = "host long, prefix long, place int, first long, second long, page long, at int, words int"
+    return hosts(url)
 
 
 def repeats_by_page(pages: DataFrame) -> DataFrame:
     """(page, repeats) of pages with candidates that a repeat of their host covers, for (page, url, html)."""
-    suffix = settle(pages.select("page", "url", "html").mapInArrow(_suffix_rows, SUFFIX), "host-suffixes")
+    own = settle(pages.select("page", "url", "html").mapInArrow(_own_rows, OWN), "host-suffixes")
+    opened = own.where(F.col("place") == OPEN)
+    # Written: Spark then knows how many hosts there are, and where they are few leaves the pages where they lie.
+    hosts = settle(opened.select("host").distinct(), "open-hosts")
+    others = pages.withColumn("host", host_of(F.col("url"))).join(hosts, "host", "left_semi").select("page", "url", "html")
+    others = others.mapInArrow(_other_rows, OTHER)
+    suffix = opened.select("host", "first", "second", "page", "words", F.posexplode("prefixes").alias("at", "prefix"))
+    every = suffix.select("host", "prefix", "first", "second", F.lit(True).alias("open")).unionByName(
+        others.select("host", F.explode("prefixes").alias("prefix"), "first", "second", F.lit(False).alias("open"))
+    )
     distinct = (F.min("first") != F.max("first")) | (F.min("second") != F.max("second"))
-    shared = suffix.groupBy("host", "prefix").agg(distinct.alias("distinct"), F.min("place").alias("least"))
-    shared = shared.where(F.col("distinct") & (F.col("least") <= OPEN)).select("host", "prefix", F.lit(OPEN).alias("place"))
+    shared = every.groupBy("host", "prefix").agg(distinct.alias("distinct"), F.max("open").alias("open"))
+    shared = settle(shared.where("distinct and open").select("host", "prefix"), "host-repeats")
     # Of marked articles: counted by article, which first stands for.
-    marked = suffix.where(F.col("place") >= MAIN)
+    marked = own.where(F.col("place") >= MAIN).withColumn("prefix", F.col("prefixes")[0])
     holders = marked.groupBy("host", "prefix", "first").agg(F.lit(1).alias("one")).groupBy("host", "prefix").count()
     articles = marked.groupBy("host", "first").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("articles"))
     usual = holders.where(F.col("count") >= LEAST_ARTICLES).join(articles, "host").where(F.col("count") >= USUAL * F.col("articles"))
-    usual = usual.select("host", "prefix", F.explode(F.array(F.lit(MAIN), F.lit(ARTICLE))).alias("place"))
-    repeated = settle(shared.unionByName(usual), "host-repeats")
-    met = suffix.where(F.col("place") >= OPEN).join(repeated, ["host", "prefix", "place"], "left_semi")
+    usual = settle(usual.select("host", "prefix"), "host-usual")
+    met = [df.join(some, ["host", "prefix"], "left_semi").select("page", "at", "words") for df, some in ((suffix, shared), (marked, usual))]
     # Copies of a page have the same repeats: a set.
-    return met.groupBy("page").agg(F.collect_set(F.struct("at", "words")).alias("repeats"))
+    return met[0].unionByName(met[1]).groupBy("page").agg(F.collect_set(F.struct("at", "words")).alias("repeats"))
 
 
 def extracted(page: Column, repeats: Column) -> Column:

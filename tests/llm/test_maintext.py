@@ -127,6 +127,37 @@ def test_suffix_prefixes_cover_every_repeat():
         assert covered == set(range(9, 9 + sum(t.count(" ") + 1 for t in shared)))
 
 
+def test_repeats_within_longer_blocks(spark):
+    """What pages share need not begin or end with a block, nor lie among the open blocks of the other page."""
+    rng = random.Random(12)
+    shared, quoted, beside = sentence(rng, 30), sentence(rng, 30), sentence(rng, 30)
+    around = lambda text: f"{sentence(rng, 9)} {text} {sentence(rng, 9)}"
+    own = [sentence(rng, 60) for _ in range(4)]
+    rows = [(i, f"http://h.example/{i}", f"<p>{own[i]}<p>{around(shared)}") for i in range(2)]
+    rows += [(2, "http://h.example/2", f"<p>{own[2]}<p>{around(quoted)}<p>{around(beside)}")]
+    rows += [(3, "http://h.example/3", f"<article><p>{own[3]} {quoted} {own[3]}</article><aside>{around(beside)}</aside>")]
+    got = dict(run(spark, rows))
+    assert [got[i] for i in range(3)] == own[:3]
+    assert got[3] == f"{own[3]} {quoted} {own[3]}"
+
+
+def test_every_word_begins_a_suffix():
+    """Any 8 words that two open streams share are found, wherever in a block, or over blocks, they lie."""
+    rng = random.Random(13)
+    for _ in range(200):
+        shared = sentence(rng, rng.randint(8, 20))
+        pages = []
+        for _ in range(2):
+            at = rng.randint(1, 30)
+            words = f"{sentence(rng, at)} {shared} {sentence(rng, rng.randint(1, 30))}".split()
+            cuts = {rng.randrange(len(words)) for _ in range(rng.randint(0, 4))}
+            pages.append((at, "".join(("<p>" if i in cuts else " ") + w for i, w in enumerate(words))))
+        (at, a), (_, b) = pages
+        common = {s[0] for s in maintext.suffixes(blocks_of(b))}
+        covered = {w for prefix, _, i, n in maintext.suffixes(blocks_of(a)) if prefix in common for w in range(i, i + n)}
+        assert covered >= set(range(at, at + shared.count(" ") + 1))
+
+
 def test_query(spark, sf_dir):
     """The pages' articles hold paragraphs, a heading and line breaks only."""
     got = QUERIES["op13_html_extraction"](spark, sf_dir)
