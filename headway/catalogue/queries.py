@@ -37,7 +37,7 @@ from headway.operators.quality import contract_violations, not_null_report, uniq
 from headway.plans import analyses, daily, dimensions, facts, rollups, staging_views
 from headway.plans.contracts import contract, not_null_columns
 from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
-from headway.schemas import INGESTED_AT, feed_schema, lineage_column, raw_schema
+from headway.schemas import INGESTED_AT, PARTITION_COLUMN, feed_schema, lineage_column, raw_schema
 from headway.session import scratch_dir
 from headway.sources.fact_tables import write_fact
 from headway.sources.landing import (
@@ -298,9 +298,10 @@ def convert_staged_day_by_day(src: Inputs) -> DataFrame:
 def stage_all_tables(src: Inputs) -> DataFrame:
     """Every feed table landed and staged; rows, and a digest of all their values, per table and day."""
     raw_root, root = scratch_dir(src.spark, "raw"), scratch_dir(src.spark, "staging")
+    # Each task multiplies its rows by the days, and adds a file to each: they are not gathered.
     in_parallel(
         partial(
-            replace_partitions, src(f"raw_{t.schema}"), raw_path(raw_root, t.source, t.entity)
+            replace_table, src(f"raw_{t.schema}"), raw_path(raw_root, t.source, t.entity), PARTITION_COLUMN, gather=False
         )
         for t in staged_tables()
     )

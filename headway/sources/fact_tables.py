@@ -23,13 +23,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from headway.session import scratch_dir
-from headway.sources.tables import PACKED, partition_values
+from headway.sources.tables import PACKED, partition_values, unsorted_writes
 
 FILE_BYTES = 128 * 1024 * 1024
-#: Files that a task keeps open at a time. Without such a number Spark sorts the rows of a task by day, after the
-#: calendar has multiplied them.
-OPEN_FILES = 400
-OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 SLICE, SLICES = "_slice", "_slices"
 
 
@@ -98,8 +94,7 @@ def write_fact(df: DataFrame, name: str, path: str, day: str, layout: FactLayout
     Has the session keep the files of a task open, unless it says how many: rows are then written as they come.
     """
     spark = df.sparkSession
-    if int(spark.conf.get(OPEN_FILES_SETTING)) == 0:
-        spark.conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
+    unsorted_writes(spark)
     (
         df.write.mode("overwrite")
         .options(**PACKED)

@@ -14,7 +14,9 @@ from headway.operators.cleaning import fill_missing, json_to_array
 from headway.operators.merge import MERGES, merge_sources
 from headway.schemas import INGESTED_AT, PARTITION_COLUMN, raw_schema
 from headway.sources.tables import (
+    ROW_GROUP_BYTES,
     in_parallel,
+    partition_values,
     raw_path,
     read_with_schema,
 )
@@ -44,6 +46,14 @@ ENTITIES = {
     "municipalities": ("gtfs",),
 }
 
+#: Bytes of packed raw files that a task reads. Copies are sought among all its rows before these are shuffled,
+#: and unpacked rows take some twenty times as much: of Spark's default of 128 MB most would go to disk.
+READ_BYTES = ROW_GROUP_BYTES
+READ_SETTING = "spark.sql.files.maxPartitionBytes"
+
+#: Days of a table that is rebuilt, up to which a task adds a file to each rather than gather their rows.
+FEW_DAYS = 4
+
 # The JSON text columns that become arrays, per table.
 ARRAY_COLUMNS = {
     "stops": ("facilities", "line_ids", "pattern_ids", "route_ids"),
@@ -90,6 +100,13 @@ def stage(raw: DataFrame, run_at: Column | None = None) -> DataFrame:
     return fill_missing(parse_partition_date(stamped)).dropDuplicates()
 
 
+def small_reads(spark: SparkSession) -> None:
+    """Has the session read files in pieces of READ_BYTES, unless it has smaller ones. That changes no rows."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(READ_SETTING))
+    if size > READ_BYTES:
+        spark.conf.set(READ_SETTING, str(READ_BYTES))
+
+
 def stage_table(
     spark: SparkSession,
     raw_root: str,
@@ -104,12 +121,16 @@ def stage_table(
     (`yyyyMMdd`) only that day is read and replaced. The rows are the same but for
     their stamp: the day is part of every row, so copies never span two days.
     """
+    small_reads(spark)
     raw = read_with_schema(
         spark, raw_path(raw_root, table.source, table.entity), raw_schema(table.schema)
     )
     path = staging_path(staging_root, table.schema)
     if day is None:
-        return _write(stage(raw, run_at), path, None)
+        # The shuffle that finds copies fills its tasks: rows of few days are not shuffled again to gather these.
+        days = partition_values(spark, raw_path(raw_root, table.source, table.entity))
+        replace_all_at_once(stage(raw, run_at), path, gather=len(days) > FEW_DAYS)
+        return path
     date = dt.datetime.strptime(day, "%Y%m%d").date()
     return _write(stage(raw.where(F.col(PARTITION_COLUMN) == day), run_at), path, date)
 

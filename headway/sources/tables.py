@@ -15,7 +15,13 @@ T = TypeVar("T")
 
 #: How tables are written. Keys that are hashes in text take most of the large ones: Spark's default packs
 #: repeats only, which these have none of, and leaves them twice as large.
-PACKED = {"compression": "zstd"}
+#: Spark reads no less than a row group in a task: at parquet's 128 MB a task would hold some gigabytes of rows.
+ROW_GROUP_BYTES = 32 * 1024 * 1024
+PACKED = {"compression": "zstd", "parquet.block.size": str(ROW_GROUP_BYTES)}
+
+#: Files that a task keeps open: more days than a feed plans ahead.
+OPEN_FILES = 400
+OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 
 # How many tables are built at a time.
 CONCURRENT_TABLES = 4
@@ -76,6 +82,7 @@ def replace_partitions(df: DataFrame, path: str, partition: str = PARTITION_COLU
 
 def replace_one_partition(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
     """The same for rows that all belong to one partition: no shuffle is needed to gather them."""
+    unsorted_writes(df.sparkSession)
     (
         df.write.mode("overwrite")
         .options(**PACKED)
@@ -85,6 +92,13 @@ def replace_one_partition(df: DataFrame, path: str, partition: str = PARTITION_C
     )
 
 
+def unsorted_writes(spark: SparkSession) -> None:
+    """Has the session keep the files of a task open, unless it says how many: rows of several days are then
+    written as they come. Otherwise Spark sorts a task's rows by day first, on disk where they are many."""
+    if int(spark.conf.get(OPEN_FILES_SETTING)) == 0:
+        spark.conf.set(OPEN_FILES_SETTING, str(OPEN_FILES))
+
+
 def replace_table(
     df: DataFrame, path: str, partition: str | None = None, gather: bool = True
 ) -> None:
@@ -98,6 +112,7 @@ def replace_table(
     if partition is None:
         df.write.mode("overwrite").options(**PACKED).option("partitionOverwriteMode", "static").parquet(path)
         return
+    unsorted_writes(df.sparkSession)
     rows = _by_partition(df, partition) if gather else df
     (
         rows.write.mode("overwrite")

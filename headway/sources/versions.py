@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from headway.schemas import PARTITION_COLUMN
-from headway.sources.tables import PACKED, partition_values
+from headway.sources.tables import PACKED, partition_values, unsorted_writes
 
 VERSION = "version"
 ALL = "all"
@@ -69,13 +69,19 @@ def replace_day_at_once(df: DataFrame, path: str, day: str, partition: str = PAR
     _commit(df.sparkSession, path, version, day)
 
 
-def replace_all_at_once(df: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
-    """Make the rows of `df` the whole table; it may read the table as it was."""
+def replace_all_at_once(df: DataFrame, path: str, partition: str = PARTITION_COLUMN, gather: bool = True) -> None:
+    """Make the rows of `df` the whole table; it may read the table as it was.
+
+    gather: shuffle the rows of a day together first. Without it each task adds a file to every day it has rows
+    of, which suits few days.
+    """
     spark = df.sparkSession
     version = _next_version(spark, path)
     folder = f"{path}/days/{VERSION}={version}"
+    unsorted_writes(spark)
     # Adaptive execution splits a day of many rows over tasks, and gives a small one a single file.
-    df.hint("rebalance", partition).write.options(**PACKED).partitionBy(partition).parquet(folder)
+    rows = df.hint("rebalance", partition) if gather else df
+    rows.write.options(**PACKED).partitionBy(partition).parquet(folder)
     _commit(spark, path, version, ALL)
 
 
