@@ -12,7 +12,8 @@ How it holds up
   way are compared in cells: pairs of hash-dealt blocks of `block` sets, each cell a task of bounded
   size. A cell counts the links of each set and ties what is linked; no pair leaves it.
 - Shingles are taken again from one text of each of those sets, found by its id and the hash of the text, and
-  go once to each cell. Rows that repeat that text under that id are combined before the shuffle.
+  go once to each cell. Only texts that pass a filter of the sets' ids and hashes are shuffled, a bitmap of at
+  most `FILTER_BITS`; rows that repeat such a text under its id are combined before that.
 
 Defined results
 - A document's words are lower-cased (A-Z) runs without ASCII white space. Fewer words than a shingle
@@ -41,6 +42,9 @@ from headway.llm.words import mix, word_hashes
 
 SEED = 20_240_607
 PIECE = 2 << 20
+#: Bits of the filter a row that is looked for, and of the whole filter: 8 MB. Beyond two million rows it lets more
+#: of the others pass, which the join after it drops.
+BITS_PER_ROW, FILTER_BITS = 32, 1 << 26
 
 
 def prefix_depths(threshold: float, trees: int, deepest: int, recall: float) -> list[int]:
@@ -129,6 +133,29 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("text_key"), text.cast("string").alias("text"))
 
 
+def among(rows: DataFrame, wanted: DataFrame, columns: list[str], most: int = FILTER_BITS) -> DataFrame:
+    """The rows whose values of `columns` some row of `wanted` has, and a few others; no row is shuffled.
+
+    Every task holds a bitmap of the hashes of the wanted values, in pieces of 4 KB. It is broadcast whatever the
+    session's threshold: its size is bounded by `most` bits, not by the rows.
+    """
+    bits, enough = 1 << 15, BITS_PER_ROW * wanted.count()
+    while bits < min(most, enough):
+        bits *= 2
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
+    pieces_of = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("piece"))
+    maps = settle(pieces_of.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")), "filter")
+    at = F.bitmap_bit_position("place").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        rows.withColumn("place", place)
+        .withColumn("piece", F.bitmap_bucket_number("place"))
+        .join(F.broadcast(maps), "piece")
+        .where(F.getbit(byte, at % 8) == 1)
+        .select(rows.columns)
+    )
+
+
 def _overlaps(lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Number of shared values of each left and each right list, by products of incidence columns."""
     owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
@@ -240,11 +267,14 @@ def near_duplicates(
                 [*columns, lists], ["id", "component", "blocks", "block", "copies", "shingles"]
             )
 
+    # Grouped before the join, which is by the same columns: a text is shuffled once.
+    one_text = ["doc_id", "text_key"]
     held = (
-        keyed(docs, id_col, text_col)
-        .join(placed, ["doc_id", "text_key"])
-        .groupBy("id", "component", "blocks", "block", "copies")
+        among(keyed(docs, id_col, text_col), placed.select(one_text), one_text)
+        .groupBy(one_text)
         .agg(F.min("text").alias("text"))
+        .join(placed, one_text)
+        .select("id", "component", "blocks", "block", "copies", "text")
         .mapInArrow(with_shingles, "id long, component long, blocks int, block int, copies long, shingles array<long>")
     )
     held = held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(

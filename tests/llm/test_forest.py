@@ -83,3 +83,38 @@ def test_components(spark):
     got = {r.id: r.component for r in components(frame).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
     assert components(frame.limit(0)).collect() == []
+
+
+def test_filter_passes_all_that_is_looked_for(spark):
+    rows = spark.range(40_000).selectExpr("if(id % 50 = 49, null, id) doc_id", "id % 7 text_key", "cast(id as string) text")
+    wanted = rows.where("doc_id % 10 = 3 or doc_id < 2").select("doc_id", "text_key")
+    for most, passed in ((forest.FILTER_BITS, 6_000), (1 << 15, 12_000)):
+        found = forest.among(rows, wanted, ["doc_id", "text_key"], most)
+        assert found.columns == rows.columns
+        assert found.join(wanted, ["doc_id", "text_key"]).count() == wanted.count()
+        assert wanted.count() <= found.count() < passed
+    assert forest.among(rows, wanted.limit(0), ["doc_id", "text_key"]).count() == 0
+
+
+def test_texts_pass_the_filter_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    texts = [f"{'a b c d e f g ' * (i % 3 + 1)}{i // 2} x" for i in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    plans, settle = {}, forest.settle
+
+    def settled(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, purpose)
+
+    monkeypatch.setattr(forest, "settle", settled)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert forest.near_duplicates(spark.read.parquet(str(tmp_path / "docs"))).count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # From the scan of the texts upwards, the rows pass the bitmap before any shuffle; one shuffle takes them on.
+    lines = plans["forest-verified"].splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "text" in line.split("Batched")[0])
+    above = lines[:scan][::-1]
+    assert next(line for line in above if "BroadcastHashJoin" in line or "Exchange hashpartitioning" in line).count("Join")
+    assert sum("Exchange hashpartitioning" in line and "text_key" in line for line in lines) == 2
