@@ -62,6 +62,19 @@ def version_id(key: Column, valid_from: Column) -> Column:
     return F.md5(F.concat_ws("|", key.cast("string"), stamp))
 
 
+def without_ids(rows: DataFrame, key: str) -> DataFrame:
+    """Versions for a shuffle: an id, a hash in text, is half of a row. NULL stands for one that `with_ids` makes
+    again; any other is kept, in a struct."""
+    made = version_id(F.col(key), F.col(VALID_FROM))
+    return rows.withColumn(VERSION_ID, F.when(~F.col(VERSION_ID).eqNullSafe(made), F.struct(VERSION_ID)))
+
+
+def with_ids(rows: DataFrame, key: str) -> DataFrame:
+    made = version_id(F.col(key), F.col(VALID_FROM))
+    kept = F.col(f"{VERSION_ID}.{VERSION_ID}")
+    return rows.withColumn(VERSION_ID, F.when(F.col(VERSION_ID).isNull(), made).otherwise(kept))
+
+
 def first_snapshot(current: DataFrame, key: str, run_at: Column) -> DataFrame:
     """History of a dimension seen for the first time: every row is an open version."""
     return current.select(
@@ -87,6 +100,7 @@ def apply_changes(
     held meet no key and come out as they are.
     """
     columns = current.columns
+    open_rows = without_ids(open_rows, key)
     # As text: an expression a column costs the driver more than the join of a small dimension.
     held = open_rows.selectExpr(
         f"struct({_listed([*columns, VERSION_ID, VALID_FROM, VALID_TO])}) held",
@@ -97,7 +111,7 @@ def apply_changes(
     changed = " or ".join(f"not (held.`{c}` <=> seen.`{c}`)" for c in check) or "false"
     opened = F.struct(
         "seen.*",
-        version_id(F.col(f"seen.{key}"), run_at).alias(VERSION_ID),
+        F.lit(None).cast(f"struct<{VERSION_ID}:string>").alias(VERSION_ID),
         run_at.alias(VALID_FROM),
         F.lit(None).cast("timestamp").alias(VALID_TO),
     )
@@ -107,11 +121,8 @@ def apply_changes(
         .when(F.col("seen").isNotNull() & F.expr(changed), F.array(closed, opened))
         .otherwise(F.array(F.col("held")))
     )
-    return (
-        held.join(seen, ["_key", "_open"], "full_outer")
-        .select(F.explode(versions).alias("version"))
-        .select("version.*")
-    )
+    joined = held.join(seen, ["_key", "_open"], "full_outer").select(F.explode(versions).alias("version"))
+    return with_ids(joined.select("version.*"), key)
 
 
 def _listed(columns: Sequence[str]) -> str:

@@ -203,10 +203,12 @@ def fact_stop_event(
     """One row per stop of a trip and day its service runs. `layout`: as for the trip schedule."""
     if active_only:
         calendar = calendar.where(F.col("exception_type") == REGULAR_DAY)
+    # Stops first, and merged: the rows of one stop then lie together when they are shuffled by trip, so that its names
+    # pack well. A trip has too few rows for that the other way round, and a broadcast leaves rows where they lie.
     calls = (
         stop_times.select("trip_id", "stop_id", "stop_sequence", "pickup_type", "drop_off_type")
+        .join(stops_enriched(stops, municipalities).hint("merge"), "stop_id")
         .join(trips_with_routes(trips, routes), "trip_id")
-        .join(stops_enriched(stops, municipalities), "stop_id")
     )
     return trips_with_dates(calls, calendar, layout).select(
         surrogate_key("stop_id", "trip_id", "service_date", "stop_sequence").alias(

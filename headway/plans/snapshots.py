@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.digests import (
@@ -36,14 +36,13 @@ from headway.operators.digests import (
 )
 from headway.operators.history import (
     SNAPSHOTS,
-    VALID_FROM,
     VALID_TO,
-    VERSION_ID,
     SnapshotSpec,
     apply_changes,
     as_of,
     first_snapshot,
-    version_id,
+    with_ids,
+    without_ids,
 )
 from headway.operators.quality import repeated_values
 from headway.sources.tables import PACKED, in_parallel
@@ -130,7 +129,7 @@ def take_snapshot(
         after = first_snapshot(rows, spec.key, stamp)
     else:
         after = apply_changes(before, rows, spec.key, spec.check, stamp)
-    closes = _write(after, f"{path}/versions/{VERSION}={version}", spec.key, buckets, stamp)
+    closes = _write(after, f"{path}/versions/{VERSION}={version}", spec.key, buckets)
     if outgrown:
         # Keys that the dimension no longer has came along to buckets of their own.
         moved = spark.read.parquet(f"{path}/versions/{VERSION}={version}/{STATE}=open")
@@ -237,20 +236,15 @@ def _history(spark: SparkSession, root: str, spec: SnapshotSpec, at: dt.datetime
     return history
 
 
-def _write(after: DataFrame, path: str, key: str, buckets: int, opened: Column) -> bool:
-    """Write the versions of a run by state and bucket; tells whether any of them is closed.
-
-    opened: when the run's own versions begin. Their ids, hashes in text, are not shuffled but made after it.
-    """
+def _write(after: DataFrame, path: str, key: str, buckets: int) -> bool:
+    """Write the versions of a run by state and bucket; tells whether any of them is closed."""
     state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
     closed = Observation()
     rows = after.withColumn(STATE, state).withColumn(BUCKET, bucket_of(key, buckets))
     rows = rows.observe(closed, F.count(F.when(F.col(STATE) == "closed", 1)).alias("rows"))
     if buckets > 1:
-        # A bucket is a few large files, not one from every task.
-        own = F.col(VALID_FROM).eqNullSafe(opened) & F.col(VALID_TO).isNull()
-        rows = rows.withColumn(VERSION_ID, F.when(~own, F.col(VERSION_ID))).hint("rebalance", STATE, BUCKET)
-        rows = rows.withColumn(VERSION_ID, F.coalesce(VERSION_ID, version_id(F.col(key), F.col(VALID_FROM))))
+        # A bucket is a few large files, not one from every task. Ids are made after the shuffle.
+        rows = with_ids(without_ids(rows, key).hint("rebalance", STATE, BUCKET), key)
     rows.write.options(**PACKED).partitionBy(STATE, BUCKET).parquet(path)
     return closed.get["rows"] > 0
 

@@ -159,3 +159,17 @@ def test_dim_stop_picks_the_earliest_row(spark):
         | {c: F.lit("x") for c in ("municipality_id", "municipality_name", "region_id", "region_name")}
     )
     assert {r.stop_id: r.stop_name for r in dim_stop(df).collect()} == {1: "early", 2: None}
+
+
+def test_stop_events_are_shuffled_by_trip_once_they_lie_by_stop(spark, sf_dir):
+    src = Inputs(spark, sf_dir)
+    names = ("stop_times", "trips", "routes", "calendar", "stops", "municipalities")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for most in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            plan = fact_stop_event(*map(src, names))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        # Outermost first: the trips are joined above the stops, which are merged with rows shuffled by stop.
+        assert plan.index("Join [trip_id") < plan.index("SortMergeJoin [stop_id")

@@ -10,9 +10,13 @@ from headway.operators.history import (
     VALID_TO,
     VERSION_ID,
     SnapshotSpec,
+    apply_changes,
     as_of,
     first_snapshot,
     scd2,
+    version_id,
+    with_ids,
+    without_ids,
 )
 from headway.plans.snapshots import read_as_of, read_snapshot, take_snapshot
 
@@ -277,3 +281,22 @@ def test_ids_of_versions_in_several_buckets_and_packed_files(spark, tmp_path):
     assert {r.id for r in rows if day(r[VALID_FROM]) == 2} == {7, 200}
     files = [f for f in tmp_path.rglob("*.parquet") if "/versions/" in str(f)]
     assert {pq.read_metadata(f).row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_ids_are_left_out_of_shuffles_unless_they_are_others(spark):
+    history = spark.sql(
+        "select * from values (1, 'a', timestamp'2024-01-01 00:00:00.000001'), (2, 'b', timestamp'2024-01-02 00:00:00'), "
+        "(3, 'c', null), (cast(null as int), 'd', timestamp'2024-01-02 00:00:00') t(k, x, dbt_valid_from)"
+    ).withColumn("dbt_valid_to", F.lit(None).cast("timestamp"))
+    own = history.withColumn("dbt_scd_id", version_id(F.col("k"), F.col("dbt_valid_from")))
+    other = F.when(F.col("k") == 1, "theirs").when(F.col("k") != 2, F.col("dbt_scd_id"))
+    mixed = own.withColumn("dbt_scd_id", other)
+    ids = lambda df: [r.dbt_scd_id for r in df.orderBy("x").collect()]
+    assert ids(without_ids(own, "k")) == [None] * 4
+    assert [r and r.dbt_scd_id for r in ids(without_ids(mixed, "k"))][:2] == ["theirs", None]
+    assert without_ids(mixed, "k").where("dbt_scd_id is null").count() == 1
+    for rows in (own, mixed):
+        assert ids(with_ids(without_ids(rows, "k"), "k")) == ids(rows)
+        seen = rows.select("k", "x").where("k is not null")
+        kept = apply_changes(rows, seen, "k", ["x"], F.lit("2024-02-01").cast("timestamp"))
+        assert ids(kept) == ids(rows) and kept.schema["dbt_scd_id"].dataType.simpleString() == "string"

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from headway.catalogue import queries as catalogue
+from headway.catalogue.inputs import Inputs
 from headway.operators.quality import (
     ContractViolation,
     check_columns,
@@ -122,3 +124,17 @@ def test_columns_of_every_kind(spark):
     assert check_columns(df.limit(0), ["d"], ["a"]) == [("d", "not_null", 0), ("a", "unique", 0)]
     assert check_columns(df, [], []) == []
     assert check_report(df, ["n"], []).collect()[0].failures == 4
+
+
+def test_views_that_merge_sources_are_checked_as_written(spark, sf_dir, monkeypatch):
+    for name in ("dim_calendar_service", "dim_line", "dim_stop", "dim_trip", "fact_trip_schedule", "fact_stop_event"):
+        monkeypatch.setattr(catalogue, name, catalogue.stg_periods)
+    for name in ("snapshot_dim_line", "snapshot_dim_stop", "snapshot_dim_trip"):
+        monkeypatch.setattr(catalogue, name, catalogue.stg_periods)
+    src = Inputs(spark, sf_dir)
+    models = catalogue._models(src)
+    for name in ("stg_routes", "stg_stops"):
+        assert "Exchange" not in models[name]._jdf.queryExecution().executedPlan().toString()
+        view = catalogue.VIEW_QUERIES[name](src)
+        assert [f.dataType for f in models[name].schema] == [f.dataType for f in view.schema]
+        assert models[name].exceptAll(view).isEmpty() and view.exceptAll(models[name]).isEmpty()
