@@ -5,6 +5,8 @@ Both are read from memory-mapped words, for many places at once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 ONE = np.uint64(1)
@@ -23,11 +25,11 @@ class BitArray:
         self.words, self.width = words, width
 
     @staticmethod
-    def pack(values: np.ndarray, width: int) -> np.ndarray:
+    def pack(values: np.ndarray, width: int, zeros: Callable = np.zeros) -> np.ndarray:
         """Words of the values' last `width` bits; a spare word ends them, so that reading may always
-        take two."""
+        take two. zeros: makes the array that is filled, in memory by default."""
         mask = np.uint64((1 << width) - 1)
-        words = np.zeros(len(values) * width // 64 + 2, np.uint64)
+        words = zeros(len(values) * width // 64 + 2, np.uint64)
         for start in range(0, len(values), CHUNK):
             own = values[start : start + CHUNK].astype(np.uint64) & mask
             bits = np.arange(len(own), dtype=np.uint64) * np.uint64(width)
@@ -47,27 +49,29 @@ class BitArray:
 
 
 class EliasFano:
-    """A monotone sequence: low bits as they are, high bits in unary in a bit vector."""
+    """A monotone sequence: low bits as they are, high bits in unary in a bit vector.
+
+    before: the ones before each word of the bit vector, and all of them; made here where it is not given.
+    """
 
-    def __init__(self, high: np.ndarray, low: BitArray, low_bits: int):
+    def __init__(self, high: np.ndarray, low: BitArray, low_bits: int, before: np.ndarray | None = None):
         self.high, self.low, self.low_bits = high, low, low_bits
-        ones = np.bitwise_count(high).astype(np.int64)
-        self.before = np.concatenate([[0], np.cumsum(ones)])
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))]) if before is None else before
 
     @staticmethod
     def low_bits_for(n: int, largest: int) -> int:
         return max(0, (largest // max(1, n)).bit_length() - 1)
 
     @staticmethod
-    def encode(values: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def encode(values: np.ndarray, largest: int, zeros: Callable = np.zeros) -> tuple[np.ndarray, np.ndarray, int]:
         """High words, low words and number of low bits of ascending values up to largest."""
         n, bits = len(values), EliasFano.low_bits_for(len(values), largest)
-        high = np.zeros((n + (largest >> bits)) // 64 + 2, np.uint64)
+        high = zeros((n + (largest >> bits)) // 64 + 2, np.uint64)
         for start in range(0, n, CHUNK):
             own = values[start : start + CHUNK].astype(np.uint64)
             at = (own >> np.uint64(bits)) + np.arange(start, start + len(own), dtype=np.uint64)
             np.bitwise_or.at(high, (at >> np.uint64(6)).astype(np.int64), ONE << (at & np.uint64(63)))
-        return high, BitArray.pack(values, max(1, bits)), bits
+        return high, BitArray.pack(values, max(1, bits), zeros), bits
 
     def _place(self, i: np.ndarray) -> np.ndarray:
         """Where the i-th one of the bit vector stands."""

@@ -314,3 +314,38 @@ def test_a_job_sends_some_entries_of_a_level(spark, monkeypatch):
     brute = Brute(texts)
     rows = {r.doc_id: r for r in trie_lm.score(docs, *trie_lm.build(docs)).collect()}
     assert all(rows[i].score == pytest.approx(brute.score(t), abs=2e-3 * len(tokens(t))) for i, t in enumerate(texts))
+
+
+def test_the_trie_holds_the_whole_model_whatever_most_is(spark):
+    """With more words or n-grams than `most` texts were scored by joins, which took 57 times the input on disk."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 40)) for _ in range(50)] + ["rare word", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    brute = Brute(texts)
+    for most in (3, 9, 30):
+        trie, _ = trie_lm.build(docs, most=most)
+        assert trie.grams is None and len(trie.hashes) <= most and len(trie.hashes) + len(trie.rest) == len(brute.one)
+        assert [len(level["codes"]) for level in trie.levels] == [len(brute.two), len(brute.three)]
+        places = trie.ids(np.concatenate([trie.hashes, trie.rest, np.array([1], np.uint64)]))
+        assert places.tolist() == [*range(len(brute.one)), -1]
+        assert trie.about["end"] == trie.ids(np.array([trie_lm.END]))[0] >= 0
+
+
+@pytest.mark.parametrize("entries", [5, 30, 100])
+def test_joins_beyond_what_numbers_of_entries_can_tell(spark, monkeypatch, entries):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 40, p=np.arange(1, 9) / 36)) for _ in range(50)] + ["rare word", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def scores():
+        trie, words = trie_lm.build(docs)
+        rows = trie_lm.score(docs, trie, words).collect()
+        return trie.grams is not None, [tuple(r) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+    joined, ours = scores()
+    assert not joined
+    monkeypatch.setattr(trie_lm, "ENTRIES", entries)
+    joined, others = scores()
+    assert joined
+    for a, b in zip(ours, others, strict=True):
+        assert b == pytest.approx(a, rel=1e-12)
